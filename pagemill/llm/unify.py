@@ -37,7 +37,8 @@ BASE = f"""CASE WHEN NOT regexp_matches(text, '[^\\x00-\\x7F]') THEN text ELSE
 
 _COUNT = lambda x, script: f"len(regexp_replace({x}, '[^{script}]', '', 'g'))"
 _WORD = f"""CASE WHEN NOT regexp_matches(w, '{MIXED_WORD}') THEN w
-  WHEN {_COUNT('w', '\\p{Latin}')} >= {_COUNT('w', '\\p{Cyrillic}\\p{Greek}')} THEN translate(w, {_Q(FOREIGN)}, {_Q(LATIN)})
+  WHEN NOT regexp_matches(translate(w, {_Q(FOREIGN)}, {_Q(LATIN)}), '[\\p{{Cyrillic}}\\p{{Greek}}]') AND ({_COUNT('w', '\\p{Latin}')} >= {_COUNT('w', '\\p{Cyrillic}\\p{Greek}')}
+    OR regexp_matches(translate(translate(w, {_Q(TO_CYRILLIC[0])}, {_Q(TO_CYRILLIC[1])}), {_Q(TO_GREEK[0])}, {_Q(TO_GREEK[1])}), '\\p{{Latin}}')) THEN translate(w, {_Q(FOREIGN)}, {_Q(LATIN)})
   WHEN regexp_matches(w, '\\p{{Cyrillic}}') THEN translate(w, {_Q(TO_CYRILLIC[0])}, {_Q(TO_CYRILLIC[1])})
   ELSE translate(w, {_Q(TO_GREEK[0])}, {_Q(TO_GREEK[1])}) END"""
 
@@ -67,7 +68,7 @@ def run_sql(statement: str):
         for batch in batches:
             if batch.num_rows:
                 con.register("batch", pa.Table.from_batches([batch]))
-                out = con.execute(statement).to_arrow_table()
+                out = con.sql(statement).to_arrow_table()
                 con.unregister("batch")
                 yield from out.to_batches()
         con.close()
@@ -75,6 +76,21 @@ def run_sql(statement: str):
     return of
 
 
+def canonical_texts():
+    """A function from an Arrow array of texts to the list of their consistent forms, with a DuckDB of its own."""
+    import duckdb
+
+    con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB"})
+
+    def of(texts: pa.Array) -> list:
+        con.register("batch", pa.table({"id": pa.array(range(len(texts)), pa.int64()), "text": texts}))
+        out = con.sql(CANONICAL + " ORDER BY id").to_arrow_table()
+        con.unregister("batch")
+        return out.column("text").to_pylist()
+
+    return of
+
+
 def canonical(texts: DataFrame) -> DataFrame:
     """(id, text) with each text in the consistent form; null stays null, blank stays blank, rows are kept one for one.
     Extra columns are dropped: join them by id. Composition is canonical (NFC), case is left alone."""
