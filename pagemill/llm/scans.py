@@ -113,7 +113,10 @@ def words_of(lines: list[str]) -> tuple[list[str], list[tuple[str, str, str]]]:
             return m[0]
 
         body = _BREAK.sub(join, body)
-    return _TOKEN.findall(body.lower()), breaks
+    words = _TOKEN.findall(body.lower())
+    if words and body.rstrip()[-1:].isalnum():
+        words.pop()  # a text may be cut inside its last word
+    return words, breaks
 
 
 def _prepared(batch: pa.RecordBatch, canon):
@@ -221,8 +224,11 @@ def scan_noise(chunks: DataFrame) -> DataFrame:
     edge = marks.where("kind in ('running_head', 'page_number')").select("id", "kind")
     misread = marks.where("kind = 'misread'").join(right, "word", "left_semi").select("id", "kind")
     known = lambda name: words.select(F.col("word").alias(name), F.col("n").alias(f"n_{name}"))
-    split = marks.where("kind = 'split_word'").select("id", "kind", F.concat("word", "rest").alias("joined"), F.concat_ws("-", "word", "rest").alias("pair"))
-    split = split.join(known("joined"), "joined", "left").join(known("pair"), "pair", "left").where("coalesce(n_pair, 0) <= coalesce(n_joined, 0)").select("id", "kind")
+    split = marks.where("kind = 'split_word'").select("id", "kind", "word", "rest", F.concat("word", "rest").alias("joined"), F.concat_ws("-", "word", "rest").alias("pair"))
+    for name in ("joined", "pair", "word", "rest"):
+        split = split.join(known(name), name, "left")
+    # two known words whose joined form is next to unknown were only met there, e.g. a line of another origin between them
+    split = split.where(f"coalesce(n_pair, 0) <= coalesce(n_joined, 0) and coalesce(n_joined, 0) * {TIMES} >= least(coalesce(n_word, 0), coalesce(n_rest, 0))").select("id", "kind")
     return edge.union(misread).union(split).distinct()
 
 
