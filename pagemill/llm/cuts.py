@@ -10,6 +10,7 @@ bracket, a word's bytes or a table row.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pagemill.llm import kernels as K
 from pagemill.llm.lines import LEAST_LETTERS, line_keys
 from pagemill.llm.scans import Pages, page_mark
 from pagemill.llm.unify import canonical_texts
@@ -25,12 +27,16 @@ from pagemill.runtime import prepare, small, staged, table
 #: Neighbouring lengths looked at on either side; ends a limit needs at least; false discovery rate; units below the limit that count (marks and split characters).
 NEAR, LEAST_ENDS, RATE, SLACK = 25, 5, 0.001, 4
 COMPLETE, OPEN, BROKEN = 0, 1, 2
+#: Least share of a source's texts, or of all texts, that end with a notice; whole sentences that begin with a pair of words, so that the pair shows a sentence begun.
+NOTICE, NOTICE_ANYWHERE, OPENINGS = 0.005, 0.0001, 10
 
 _ENDS = ".!?。！？"
 _CLOSERS = "\"'”’»)]）」』✓*†"
 _REFERENCE = re.compile(r"\s*(?:\[\d{1,4}\]|\((?:[A-Z]?\d[\d.,-]*)\)|✓)\s*$")
 _MARKER = re.compile(r"\s*(?:[-–—•*·▪◦‣]|\d{1,3}[.)]|\(?[a-zA-Z][.)])\s+(?=\S)")
 _INSIDE = re.compile(r"[.!?]\s+[^\W\d_]|[。！？]\S")
+_START = re.compile(r"\s*([^\W\d_]+)['’ ]([^\W\d_]+)[\W\d]")
+_SENTENCE = re.compile(r"(?:^|(?<=[.!?] ))([^\W\d_]+)['’ ]([^\W\d_]+)[ ,'’(][^.!?\n]*(?=[.!?](?:\s|$))", re.M)
 _LETTERS = re.compile(r"[^\W\d_]+")
 _FIELDS = ("|", "\t", ";", ",")
 
@@ -38,7 +44,7 @@ _FIELDS = ("|", "\t", ";", ",")
 def _row(line: str) -> tuple[str, int] | None:
     """The field mark of a table row, and the number of marks."""
     s = line.strip("\r\n ")
-    if s.startswith("|") or s.count("|") >= 2:
+    if s.startswith("|"):
         return "|", s.count("|")
     for m in ("\t", ";"):
         if line.count(m):
@@ -100,22 +106,20 @@ def ending(text: str, common: frozenset, pages: Pages, page: int | None) -> int:
         return COMPLETE
     if _MARKER.match(lines[-1]) and (before and _MARKER.match(before[-1]) or not _INSIDE.search(last)):
         return OPEN
-    if _japanese(last):
-        return BROKEN if len(before) == 0 or _INSIDE.search(last) or before[-1].rstrip()[-1:] in _ENDS else OPEN
     if _INSIDE.search(last):
         return BROKEN
-    words = [w.lower() for w in _LETTERS.findall(last)]
-    functional = sum(w in common for w in words)
     ended = not before or before[-1].rstrip().rstrip(_CLOSERS)[-1:] in _ENDS
+    if _japanese(last):
+        return BROKEN if "、" in last or "は" in last else OPEN
     if not ended:
         # a list without markers has short lines that all begin with a capital letter; wrapped prose goes on in lower case
         tail = before[-3:] + [last]
         if len(tail) > 2 and all(x.strip()[:1].isupper() for x in tail) and max(map(len, tail)) < 75 and not any(x.rstrip()[-1:] in _ENDS for x in tail):
             return OPEN
-        if last[:1].islower() and len(before) > 1:
+        if last[:1].islower() and len(before) > 1 and len(before[-1]) > 30:
             return BROKEN
-    if functional and (len(words) > 1 or ended and before):
-        return BROKEN if functional * 8 >= len(words) else OPEN
+    elif before and sum(w in common for w in (w.lower() for w in _LETTERS.findall(last))) > 1:
+        return BROKEN
     return OPEN
 
 
@@ -134,26 +138,45 @@ def _ends(common: frozenset):
                 if t:
                     p = pages.get(paths[i]) or pages.setdefault(paths[i], Pages(paths[i]))
                     end[i] = ending(t, common, p, numbers[i])
-            key, size, _, _ = line_keys([(t or "").rstrip().rpartition("\n")[2] for t in raw])
+            lasts = [(t or "").rstrip().rpartition("\n")[2] for t in raw]
+            key, size, _, _ = line_keys(lasts)
+            start = _start_keys([m.group(1, 2) if (m := _START.match(t)) and m[1][0].isupper() else None for t in ((x or "").rstrip().rpartition("\n")[2] for x in texts)])
             chars = np.array([len(t) for t in raw], np.int32)
             octets = np.array([len(t.encode("utf-8", "surrogatepass")) for t in raw], np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(chars), pa.array(octets), pa.array(end), pa.array(np.where(size >= LEAST_LETTERS, key, 0)), pa.array([t.count("\n") > 0 for t in raw])],
-                names=["id", "source", "chars", "octets", "ending", "key", "lines"],
+                [batch.column(0), batch.column(1), pa.array(chars), pa.array(octets), pa.array(end), pa.array(np.where(size >= LEAST_LETTERS, key, 0)), pa.array(start)],
+                names=["id", "source", "chars", "octets", "ending", "key", "start"],
             )
 
     return of
 
 
-def _inner_lines(batches):
+def _start_keys(pairs: list) -> np.ndarray:
+    """Hashes of pairs of words; of None 0."""
+    out = np.zeros(len(pairs), np.int64)
+    at = [i for i, p in enumerate(pairs) if p]
+    if at:
+        a, sep = K.code_points([" ".join(pairs[i]) for i in at])
+        out[at] = K.range_hashes(a, np.r_[0, sep[:-1] + 1], sep).view(np.int64)
+    return out
+
+
+def _openings(batches):
+    """Counts of the first two words of whole sentences."""
+    count: Counter = Counter()
+
+    def out():
+        pairs = list(count)
+        batch = pa.RecordBatch.from_arrays([pa.array(_start_keys(pairs)), pa.array([count[p] for p in pairs], pa.int64())], names=["start", "n"])
+        count.clear()
+        return batch
+
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        if texts:
-            key, size, doc, number = line_keys(texts)
-            count = np.bincount(doc, minlength=len(texts))
-            use = (size >= LEAST_LETTERS) & (number < count[doc] - 1)
-            k, n = np.unique(key[use], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n.astype(np.int64))], names=["key", "n"])
+        for t in batch.column(0).to_pylist():
+            count.update([p for p in _SENTENCE.findall(t) if p[0][0].isupper()])
+        if len(count) > 300_000:
+            yield out()
+    yield out()
 
 
 def limits(ends: DataFrame) -> DataFrame:
@@ -180,17 +203,24 @@ def limits(ends: DataFrame) -> DataFrame:
 def truncated(chunks: DataFrame, common: frozenset) -> tuple[DataFrame, DataFrame]:
     """Cut texts (id, source, at_limit) among (id, source, path, page, text) rows, and all texts (id, source), each once.
 
-    Null and blank texts are not cut. Rows sent again count once. Lines that also stand inside other texts (notices) are
-    complete ends. An empty table gives empty results.
+    Null and blank texts are not cut. Rows sent again count once. Notices at the end are
+    complete ends, by their share of a source. An empty table gives empty results.
     """
     prepare(chunks.sparkSession)
-    chunks = chunks.select("id", "source", "path", "page", "text").where("id is not null and trim(text) <> ''")
-    ends = chunks.mapInArrow(_ends(common), "id bigint, source string, chars int, octets int, ending int, key bigint, lines boolean")
+    chunks = chunks.select("id", "source", "path", "page", "text").where("id is not null and rlike(text, '\\\\S')")
+    ends = chunks.mapInArrow(_ends(common), "id bigint, source string, chars int, octets int, ending int, key bigint, start bigint")
     ends = staged(ends.dropDuplicates(["id"]), "ends")
     found = staged(limits(ends), "limits")
     maybe = ends.where(f"ending > {COMPLETE}")
-    notices = chunks.select("id", "text").mapInArrow(_inner_lines, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where("n >= 5")
-    maybe = staged(maybe.join(notices, "key", "left_anti"), "maybe")
+    # a notice is the last line of a hundredth of its source's texts; its line is complete in any source
+    n = ends.groupBy("source").agg(F.count("*").alias("n_source"))
+    last = maybe.where("key <> 0").groupBy("source", "key").agg(F.count("*").alias("n")).withColumnRenamed("source", "s")
+    notices = last.join(n, F.col("s").eqNullSafe(n.source)).where((F.col("n") >= LEAST_ENDS) & (F.col("n") >= F.col("n_source") * NOTICE)).select("key")
+    everywhere = last.groupBy("key").agg(F.sum("n").alias("n")).join(ends.agg(F.count("*").alias("n_all")).hint("broadcast")).where((F.col("n") >= LEAST_ENDS) & (F.col("n") >= F.col("n_all") * NOTICE_ANYWHERE)).select("key")
+    notices = notices.union(everywhere).distinct()
+    maybe = maybe.join(notices, "key", "left_anti")
+    openings = chunks.select("text").mapInArrow(_openings, "start bigint, n bigint").groupBy("start").agg(F.sum("n").alias("n")).where(f"start <> 0 and n >= {OPENINGS}").select("start", F.lit(BROKEN).alias("opened"))
+    maybe = staged(maybe.join(openings, "start", "left").withColumn("ending", F.coalesce("opened", "ending")).drop("opened"), "maybe")
     hit = small(staged(found.select("source", "unit", F.explode(F.expr(f"sequence(length - {SLACK}, length)")).alias("length")).distinct(), "hit"), 500_000)
     at = maybe.select("id", "source", F.explode(F.expr("array(struct('chars' as unit, chars as length), struct('octets' as unit, octets as length))")).alias("u")).select("id", "source", "u.*")
     at = at.join(hit, at.source.eqNullSafe(hit.source) & (at.unit == hit.unit) & (at.length == hit.length), "left_semi").select("id").distinct().withColumn("limited", F.lit(True))
