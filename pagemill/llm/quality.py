@@ -112,7 +112,9 @@ def statistics(docs: DataFrame, common: dict[str, frozenset]) -> DataFrame:
 
     def of(batches):
         for batch in batches:
-            rows = [measure(t, common) for t in batch.column(1).to_pylist()]
+            texts = batch.column(1).to_pylist()
+            filled = [i for i, t in enumerate(texts) if not t.isspace()]
+            batch, rows = batch.take(pa.array(filled, pa.int64())), [measure(texts[i], common) for i in filled]
             x = np.array([r[1] for r in rows], np.float64).reshape(-1, D)
             off = np.arange(0, (len(rows) + 1) * D, D, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -210,7 +212,7 @@ def judge(x: np.ndarray, part: np.ndarray) -> str | None:
     """The kind of an outlier, or None for prose that is only unusual: what fills the larger part of its characters."""
     _, mean, symbols, digits, common, _, _, _, variety, longest, vowels = x
     listed, tabled = part
-    if symbols > 0.45 and tabled < 0.5:
+    if symbols > 0.3 and listed + tabled < 0.5 or symbols > 0.45 and tabled < 0.5:
         return "junk"
     if listed + tabled > 0.5:
         return "list" if listed > tabled else "table"
