@@ -63,7 +63,7 @@ def branches(files: DataFrame, readers: dict, strict: bool = False) -> DataFrame
 
 def text_chunks(files: DataFrame, size: int = 1024, overlap: int = 0) -> DataFrame:
     """(path, chunk_index, text) of text files; undecodable bytes are replaced, blank files give nothing."""
-    t = files.select("path", F.posexplode(token_windows(F.decode("content", F.lit("UTF-8")), size, overlap)).alias("chunk_index", "text"))
+    t = files.select("path", F.posexplode(token_windows(F.make_valid_utf8(F.col("content").cast("string")), size, overlap)).alias("chunk_index", "text"))
     return t.where("trim(text) <> ''")
 
 
