@@ -97,7 +97,7 @@ def test_sources(spark, tmp_path):
     (tmp_path / "d.xyz").write_text("?")
     run = Ingest(spark).files([f"{tmp_path}/*.txt", f"{tmp_path}/*.html", f"{tmp_path}/*.csv"]).split(3).embed(lambda c: F.array(F.length(c).cast("double")))
     counters = run.write(f"{tmp_path}/out", dim=1).first()
-    assert counters["written"] == 5 and counters["dropped_no_text"] == 0
+    assert counters["written"] == 7 and counters["dropped_no_text"] == 0
     with pytest.raises(FileNotFoundError):
         S.expand_paths([f"{tmp_path}/none.txt"])
     with pytest.raises(PySparkException):
