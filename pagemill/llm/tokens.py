@@ -21,8 +21,8 @@ from pagemill.llm import kernels as K
 from pagemill.runtime import prepare, table
 
 TOKENIZERS = os.environ.get("PAGEMILL_TOKENIZERS", "/opt/tokenizers")
-#: Characters the rolling hash sees, mean chunk length in characters (a power of two), characters of cached chunks a worker keeps.
-WINDOW, MEAN, CACHE = 16, 512, 8_000_000
+#: Characters the rolling hash sees, mean chunk length in characters (a power of two), characters of cached chunks a worker keeps, texts encoded at a time.
+WINDOW, MEAN, CACHE, ROWS = 16, 512, 8_000_000, 1000
 
 # Fixed value: the public pattern of byte-level BPE pre-tokenization.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
@@ -46,8 +46,8 @@ class Engine:
         self.chunks: dict[str, tuple] = {}
         self.held = 0
 
-    def encode(self, text: str) -> list[int]:
-        return self.encoding.encode_ordinary(text)
+    def encode(self, text: str) -> np.ndarray:
+        return self.encoding.encode_to_numpy(text, disallowed_special=()).astype(np.int32)
 
     def chunk(self, text: str) -> tuple:
         """(ids, first safe place, tokens before it, last safe place, tokens before it), places -1 where there is none."""
@@ -69,11 +69,11 @@ class Engine:
             self.held += len(text)
         return got
 
-    def joined(self, chunks: list[str]) -> list[int]:
+    def joined(self, chunks: list[str]) -> np.ndarray:
         """The ids of the text that the chunks make up."""
         if len(chunks) == 1:
             return self.chunk(chunks[0])[0]
-        out: list[int] = []
+        out: list[np.ndarray] = []
         open_text = ""  # from the last safe place on
         for text in chunks:
             ids, q, n_q, p, n_p = self.chunk(text)
@@ -81,12 +81,11 @@ class Engine:
                 open_text += text
                 continue
             if not out and not open_text:
-                out += ids[:n_p]
+                out.append(ids[:n_p])
             else:
-                out += self.encode(open_text + text[:q])
-                out += ids[n_q:n_p]
+                out += [self.encode(open_text + text[:q]), ids[n_q:n_p]]
             open_text = text[p:]
-        return out + self.encode(open_text) if open_text else out
+        return np.concatenate([*out, self.encode(open_text)] if open_text else out)
 
 
 def engine(path: str) -> Engine:
@@ -123,12 +122,13 @@ def encoded(texts: DataFrame, tokenizer: str = "byte_bpe_50k", folder: str = TOK
 
     def of(batches):
         e = engine(path)
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            ids = [e.joined(c) if c[0] else [] for c in boundaries([t or "" for t in texts])] if texts else []
-            off = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            flat = np.fromiter((i for x in ids for i in x), np.int32, int(off[-1]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(off), pa.array(flat))], names=["id", "ids"])
+        none = np.zeros(0, np.int32)
+        for whole in batches:
+            for s in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(s, ROWS)
+                ids = [e.joined(c) if c[0] else none for c in boundaries([t or "" for t in batch.column(1).to_pylist()])]
+                off = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(ids)))], names=["id", "ids"])
 
     return texts.select("id", "text").mapInArrow(of, "id bigint, ids array<int>")
 

@@ -127,7 +127,7 @@ def test_ids_are_exact(spark):
     rows = [(i, t) for i, t in enumerate(odd)] + [(100 + i, make(rng, rng.randrange(1, 900)) + " '" * (i % 3)) for i in range(60)]
     for r in tokens.encoded(texts(spark, rows)).collect():
         t = dict(rows)[r["id"]]
-        assert r["ids"] == (plain.encode(t) if t else [])
+        assert r["ids"] == (plain.encoding.encode_ordinary(t) if t else [])
 
 
 def test_vocabulary_pattern_matches_library():
@@ -137,7 +137,7 @@ def test_vocabulary_pattern_matches_library():
     t.encode_special_tokens = True
     e = tokens.Engine(f"{tokens.TOKENIZERS}/byte_bpe_50k.tiktoken")
     for x in ("It's  a\n\n test  ", "x　y 12ab", " lead", "tail \n"):
-        assert e.encode(x) == t.encode(x, add_special_tokens=False).ids
+        assert e.encode(x).tolist() == t.encode(x, add_special_tokens=False).ids
 
 
 def test_packing(spark):
