@@ -99,7 +99,7 @@ def word_score(word: bytes, of: dict[bytes, int], prob: dict[int, np.ndarray], f
 
 
 def fold(text: str) -> str:
-    return unicodedata.normalize("NFC", text).lower()
+    return text.lower() if text.isascii() else unicodedata.normalize("NFC", text).lower()
 
 
 def bare(text: str) -> str:
@@ -149,7 +149,7 @@ def fit(texts: list[tuple[str, str]], common: list[tuple[str, str]], folder: str
         counts = {k: Counter({w: 5 for lang, w in common if lang == k}) for k in LANGUAGES}
         cache: dict = {}
         for lang, words in rows:
-            if turn and (s := _score(words, model, cache))[0] is not None and LANGUAGES[int(np.argmax(s[0]))] != lang:
+            if turn and words and LANGUAGES[int(np.argmax(sum(entry(w, model, cache)[0] * n for w, n in words.items())))] != lang:
                 continue
             counts[lang].update(words)
         p_all: list[tuple[dict[int, float], float]] = []
@@ -175,31 +175,28 @@ def fit(texts: list[tuple[str, str]], common: list[tuple[str, str]], folder: str
     return model
 
 
-def leading_script(words: list[str]) -> list[str]:
-    """The words in the script of most letters (a Japanese character counts as two): names and quotations in another
-    script say nothing about a sentence's language."""
-    by: dict[str, list] = {}
+def entry(word: str, model: dict, cache: dict) -> tuple[np.ndarray, int, str, int]:
+    """Of a word: log probabilities, how many words it counts as (Japanese: by characters), script, weight by letters (a
+    Japanese character counts as two)."""
+    e = cache.get(word)
+    if e is None:
+        cjk = _CJK.search(word) is not None
+        script = "cjk" if cjk else "cyrillic" if "\u0400" <= word[0] <= "\u052f" else "latin"
+        s = word_score(_bytes(word), pieces(model["folder"]).of, model["prob"], model["floor"])
+        e = cache[word] = (s, max(1, len(word) * LEAST_WORDS // LEAST_CHARS) if cjk else 1, script, len(word) * (2 if cjk else 1))
+    return e
+
+
+def leading_script(entries: list[tuple]) -> list[tuple]:
+    """The words in the script of most letters: names and quotations in another script say nothing about a sentence's
+    language."""
+    if len({e[2] for e in entries}) < 2:
+        return entries
     size: Counter = Counter()
-    for w in words:
-        c = w[0]
-        k = "cjk" if _CJK.search(w) else "cyrillic" if "\u0400" <= c <= "\u052f" else "latin"
-        by.setdefault(k, []).append(w)
-        size[k] += len(w) * (2 if k == "cjk" else 1)
-    return by[size.most_common(1)[0][0]] if len(by) > 1 else words
-
-
-def _score(words: Counter | list[str], model: dict, cache: dict) -> tuple[np.ndarray | None, int]:
-    """Sum of the words' log probabilities, None without words, and the number of words (Japanese: by characters)."""
-    of = pieces(model["folder"]).of
-    total, n = None, 0
-    for w in words:
-        s = cache.get(w)
-        if s is None:
-            s = cache[w] = word_score(_bytes(w), of, model["prob"], model["floor"])
-        k = words[w] if isinstance(words, Counter) else 1
-        total = s * k if total is None else total + s * k
-        n += (max(1, len(w) * LEAST_WORDS // LEAST_CHARS) if _CJK.search(w) else 1) * k
-    return total, n
+    for e in entries:
+        size[e[2]] += e[3]
+    lead = size.most_common(1)[0][0]
+    return [e for e in entries if e[2] == lead]
 
 
 def segments(text: str, model: dict, cache: dict) -> list[tuple[int, int, str, float, int]]:
@@ -209,9 +206,9 @@ def segments(text: str, model: dict, cache: dict) -> list[tuple[int, int, str, f
         cache.clear()
     parts = []
     for m in _SENTENCES.finditer(text):
-        words = leading_script(words_of(fold(m.group())))
-        if words:
-            s, n = _score(words, model, cache)
+        entries = leading_script([entry(w, model, cache) for w in words_of(fold(m.group()))])
+        if entries:
+            s, n = np.add.reduce([e[0] for e in entries]), sum(e[1] for e in entries)
             order = np.sort(s)
             parts.append([m.start(), m.end(), s, n, n >= LEAST_WORDS and order[-1] - order[-2] >= ODDS])
     if not parts:
