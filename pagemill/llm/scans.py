@@ -30,12 +30,18 @@ HYPHENS = "-‐‑¬­"
 TIMES, KNOWN = 40, 12
 #: The most frequent words are not looked up; a fixed bound on what is broadcast.
 STOP_WORDS = 5_000
+#: Lines longer than this are not wrapped ones.
+WIDEST = 120
 
 _TOKEN = re.compile(r"[^\W_]+(?:[@'’][^\W_]+)*@?|@[^\W_]+")
 _CODE = re.compile(r"[^\W\d_]?\d+[^\W\d_]?|\d+[^\W\d_]{1,2}")
 _PAIR = re.compile(r"(?=\b([^\W\d_]+)-([^\W\d_]+))")
 _BREAK = re.compile(rf"([^\W_]*[^\W_@]@?)([{HYPHENS}])[ \t]*\r?\n\s*([^\W_]+)")
 _PAGE = re.compile(r"(?:[-—–·•\[(|]\s*)?(?:(?:p|p[a4@]ge|pg|s|seite|p[aá]gina|pag|pág|trang|стр|страница)\.?\s*)?(\d{1,6})(?:\s*(?:/|of|von|de|di|sur|из)\s*\d{1,6})?(?:\s*[-—–·•\])|])?", re.I)
+_LEFT = re.compile(rf"([^\W_]*[^\W_@]@?)([{HYPHENS}])[ \t]*$")
+_WORD = re.compile(r"[^\W_]+")
+_ITEM = re.compile(r"\s*(?:[-–—•*·▪◦‣✓]|\d{1,3}[.)]|\(?[a-zA-Z][.)])\s+\S|\s*#+ ")
+_STOPS = ".!?:。！？"
 _SKELETON = str.maketrans({"c": "e", "f": "e", "t": "e", "3": "e", "7": "e", "b": "h", "1": "i", "l": "i", "0": "o", "5": "s", "9": "g", "@": "a", "4": "a", "6": "h", "8": "h"})
 
 
@@ -133,28 +139,36 @@ def _prepared(batch: pa.RecordBatch, canon):
             yield i, kinds, words, breaks, body
 
 
-def _vocabulary(batches):
-    canon, count = canonical_texts(), Counter()
+def _as_stored():
+    """A stand-in for canonical_texts where the texts are in consistent form already."""
+    return lambda texts: texts.to_pylist()
 
-    def out():
-        items = [(w, n) for w, n in count.items() if not _CODE.fullmatch(w)]
-        count.clear()
-        return pa.RecordBatch.from_arrays([pa.array([w for w, _ in items], pa.string()), pa.array([n for _, n in items], pa.int64())], names=["word", "n"])
 
-    for batch in batches:
-        for _, _, words, _, body in _prepared(batch, canon):
-            count.update(words)
-            for line in body:
-                if "-" in line:
-                    count.update([f"{a}-{b}" for a, b in _PAIR.findall(line.lower())])
-        if len(count) > 300_000:
-            yield out()
-    yield out()
+def _vocabulary(form):
+    def of(batches):
+        canon, count = form(), Counter()
+
+        def out():
+            items = [(w, n) for w, n in count.items() if not _CODE.fullmatch(w)]
+            count.clear()
+            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in items], pa.string()), pa.array([n for _, n in items], pa.int64())], names=["word", "n"])
+
+        for batch in batches:
+            for _, _, words, _, body in _prepared(batch, canon):
+                count.update(words)
+                for line in body:
+                    if "-" in line:
+                        count.update([f"{a}-{b}" for a, b in _PAIR.findall(line.lower())])
+            if len(count) > 300_000:
+                yield out()
+        yield out()
+
+    return of
 
 
-def _marks(stop: frozenset):
+def _marks(stop: frozenset, form):
     def of(batches):
-        canon = canonical_texts()
+        canon = form()
         for batch in batches:
             ids = batch.column(0).to_pylist()
             rows: list[tuple] = []
@@ -181,9 +195,9 @@ def _reached(batches):
         yield batch.filter(pa.array(keep, pa.bool_()))
 
 
-def vocabulary(chunks: DataFrame) -> DataFrame:
+def vocabulary(chunks: DataFrame, form=canonical_texts) -> DataFrame:
     """(word, n) of all words and hyphenated pairs of words of the running texts, in lower case."""
-    return chunks.mapInArrow(_vocabulary, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return chunks.mapInArrow(_vocabulary(form), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def corrections(words: DataFrame) -> DataFrame:
@@ -208,28 +222,143 @@ def corrections(words: DataFrame) -> DataFrame:
     return best.where("rank = 1").select("word", "right", "edits")
 
 
-def scan_noise(chunks: DataFrame) -> DataFrame:
-    """(id, kind), each once, for the kinds of scanning noise in the texts of (id, path, page, text) rows.
-
-    Null and blank texts have none; a null path has no running heads; with a null or negative page any page mark counts.
-    Rows sent again count twice in the word frequencies and once in the result; an empty table gives an empty result.
-    """
+def _noise(chunks: DataFrame, form=canonical_texts) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of (id, path, page, text) rows: the marks in the texts, the corrections of rare words, and the divisions with their verdicts."""
     spark = prepare(chunks.sparkSession)
     chunks = chunks.select("id", "path", "page", "text").where("id is not null and text is not null")
-    words = staged(vocabulary(chunks), "words")
+    words = staged(vocabulary(chunks, form), "words")
     stop = frozenset(r[0] for r in words.where("not rlike(word, '[0-9@-]')").orderBy(F.desc("n"), "word").limit(STOP_WORDS).collect())
     right = staged(corrections(words), "corrections")
     stop -= {r[0] for r in right.where(F.col("word").isin(list(stop)) if stop else F.lit(False)).collect()}
-    marks = staged(chunks.mapInArrow(_marks(stop), "id bigint, kind string, word string, mark string, rest string"), "marks")
-    edge = marks.where("kind in ('running_head', 'page_number')").select("id", "kind")
-    misread = marks.where("kind = 'misread'").join(right, "word", "left_semi").select("id", "kind")
+    marks = staged(chunks.mapInArrow(_marks(stop, form), "id bigint, kind string, word string, mark string, rest string"), "marks")
     known = lambda name: words.select(F.col("word").alias(name), F.col("n").alias(f"n_{name}"))
     split = marks.where("kind = 'split_word'").select("id", "kind", "word", "rest", F.concat("word", "rest").alias("joined"), F.concat_ws("-", "word", "rest").alias("pair"))
     for name in ("joined", "pair", "word", "rest"):
         split = split.join(known(name), name, "left")
+    split = split.withColumn("compound", F.expr("coalesce(n_pair, 0) > coalesce(n_joined, 0)"))
     # two known words whose joined form is next to unknown were only met there, e.g. a line of another origin between them
-    split = split.where(f"coalesce(n_pair, 0) <= coalesce(n_joined, 0) and coalesce(n_joined, 0) * {TIMES} >= least(coalesce(n_word, 0), coalesce(n_rest, 0))").select("id", "kind")
-    return edge.union(misread).union(split).distinct()
+    return marks, right, split.withColumn("accepted", F.expr(f"not compound and coalesce(n_joined, 0) * {TIMES} >= least(coalesce(n_word, 0), coalesce(n_rest, 0))"))
+
+
+def scan_noise(chunks: DataFrame) -> DataFrame:
+    """(id, kind), each once, for the kinds of scanning noise in the texts of (id, path, page, text) rows.
+
+    Null and blank texts have none; a null path has no running heads; with a null or negative page any page mark counts.
+    Rows sent again count twice in the word frequencies and once in the result; an empty table gives an empty result.
+    """
+    marks, right, split = _noise(chunks)
+    edge = marks.where("kind in ('running_head', 'page_number')").select("id", "kind")
+    misread = marks.where("kind = 'misread'").join(right, "word", "left_semi").select("id", "kind")
+    return edge.union(misread).union(split.where("accepted").select("id", "kind")).distinct()
+
+
+def _cased(word: str, right: str, begins: bool) -> str:
+    """right in the case of word; where word begins with a digit or mark, its case is that of its place."""
+    letters = [c for c in word if c.isalpha()]
+    if len(letters) > 1 and all(c.isupper() for c in letters):
+        return right.upper()
+    return right[:1].upper() + right[1:] if (word[0].isupper() if word[0].isalpha() else begins) else right
+
+
+def _fields(line: str) -> bool:
+    """Whether the line is a row of a table."""
+    s = line.strip()
+    return s[0] == "|" or "\t" in s or "   " in s or any((n := s.count(m)) > 1 and m + " " not in s and s.count(" ") <= 2 * n for m in ",;")
+
+
+def _width(lines: list[str]) -> int:
+    """The width at which the lines are wrapped: that below which most lines end closely; 0 if they aren't wrapped."""
+    sizes = [len(x) for x in lines]
+    near, w = max(((sum(s - 10 < x <= s for x in sizes), -s) for s in sizes), default=(0, 0))
+    return -w if near > 1 and -w <= WIDEST else 0
+
+
+def reflow(text: str, pages: Pages, page: int | None, joins: dict[tuple[str, str], str]) -> str:
+    """The text without its edge lines and with each paragraph on one line. joins: what stands between the parts of a
+    word divided at a line end, by the parts. Lines of lists and tables stay, blank lines stay as one; around an edge
+    line they are none of the text's own."""
+    blocks: list[list[str]] = []
+    blank, edge = True, False
+    for line in text.split("\n"):
+        if not (s := line.strip()):
+            blank = True
+        elif len(s) < 80 and not parse(line, pages, page)[1]:
+            edge = True
+        else:
+            if not blocks or blank and not edge:
+                blocks.append([])
+            blocks[-1].append(line.rstrip())
+            blank = edge = False
+    width = _width([x.strip() for b in blocks for x in b])
+    out = []
+    for lines in blocks:
+        items = len(lines) > 2 and all(x.strip()[:1].isupper() and x[-1] not in _STOPS for x in lines)
+        whole = [lines[0]]
+        for before, line in zip(lines, lines[1:]):
+            s, size = line.strip(), len(before.strip())
+            m, n = (_LEFT.search(before), _WORD.match(s)) if joins and before[-1] in HYPHENS else (None, None)
+            if m and n and (between := joins.get((m[1].lower(), n[0].lower()))) is not None:
+                whole[-1] = whole[-1][: m.start(2) - len(before)] + between + s
+            elif items or _fields(before) or _fields(line) or _ITEM.match(line):
+                whole.append(line)
+            else:
+                wide = any("\u3040" <= c <= "\u9fff" for c in (before[-1], s[0]))
+                goes_on = s[0].islower() and before[-1] not in _STOPS
+                # the next word had no room left on the line
+                full = size <= width + 3 and len(s) <= width + 3 and size + (1 if wide else 1 + len(s.split()[0])) >= width - 2
+                if goes_on or width and full:
+                    whole[-1] += s if wide else " " + s
+                else:
+                    whole.append(line)
+        out.append("\n".join(whole))
+    return "\n\n".join(out)
+
+
+def _consistent(batches):
+    canon = canonical_texts()
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(canon(batch.column(3)), pa.string())], names=["id", "path", "page", "text"])
+
+
+def _repair(batches):
+    for batch in batches:
+        ids, paths, numbers, fixes = (batch.column(c).to_pylist() for c in ("id", "path", "page", "fixes"))
+        texts = batch.column("text").to_pylist()
+        pages: dict = {}
+        for i, t in enumerate(texts):
+            if not t or t.isspace():
+                continue
+            if paths[i] not in pages:
+                pages[paths[i]] = Pages(paths[i])
+            fix = fixes[i] or []
+            t = reflow(t, pages[paths[i]], numbers[i], {(f["word"], f["rest"]): f["to"] for f in fix if f["rest"] is not None})
+            right = {f["word"]: f["to"] for f in fix if f["rest"] is None}
+            if right:
+
+                def put(m, right=right):
+                    to = right.get(m[0].lower())
+                    return m[0] if to is None else _cased(m[0], to, m.string[: m.start()].rstrip()[-1:] in ("", *_STOPS))
+
+                t = _TOKEN.sub(put, t)
+            texts[i] = t
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=["id", "text"])
+
+
+def repaired(chunks: DataFrame) -> DataFrame:
+    """(id, text), each id once, of (id, path, page, text) rows: the text in consistent form, without edge lines, words
+    divided at line ends joined, misread words corrected, each paragraph on one line.
+
+    Null texts stay null, blank ones blank. A compound broken at its own hyphen keeps it. Of rows sent again one stays.
+    """
+    prepare(chunks.sparkSession)
+    chunks = chunks.select("id", "path", "page", "text").where("id is not null")
+    chunks = staged(chunks.mapInArrow(_consistent, "id bigint, path string, page int, text string"), "consistent")
+    marks, right, split = _noise(chunks, _as_stored)
+    word = marks.where("kind = 'misread'").join(right, "word").select("id", "word", F.lit(None).cast("string").alias("rest"), F.col("right").alias("to"))
+    parts = split.where("accepted or compound").select("id", "word", "rest", F.when(F.col("compound"), "-").otherwise("").alias("to"))
+    fixes = staged(word.union(parts), "fixes").groupBy("id").agg(F.collect_set(F.struct("word", "rest", "to")).alias("fixes"))
+    once = chunks.withColumn("nth", F.row_number().over(W.partitionBy("id").orderBy(F.col("text").isNull(), F.desc("page"), "path", "text"))).where("nth = 1").drop("nth")
+    return once.join(fixes, "id", "left").mapInArrow(_repair, "id bigint, text string")
 
 
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,5 +369,10 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_noise(_chunks(spark, sf_dir)).select(F.col("id").alias("chunk_id"), "kind")
 
 
-QUERIES = {"p1_found": p1_found}
+def p1_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each chunk once, its text repaired and in continuous paragraphs."""
+    return repaired(_chunks(spark, sf_dir)).select(F.col("id").alias("chunk_id"), "text")
+
+
+QUERIES = {"p1_found": p1_found, "p1_repaired": p1_repaired}
 SQL: dict[str, str] = {}

@@ -86,6 +86,19 @@ def test_scans(spark):
     assert scans.scan_noise(spark.createDataFrame([], "id bigint, path string, page int, text string")).count() == 0
 
 
+def test_scans_repaired(spark):
+    page = "The clerk measured the annual report before the season opened. The report was moved near the northern gate.\n"
+    rows = [(i, f"/v/annual-report-notes-{i:07d}.pdf", 3, page) for i in range(60)] + [(200 + i, "/v/z-0.pdf", 1, "The follow-up was moved.") for i in range(9)]
+    scan = "The annua1 rep0rt was rnoved before the season of the cl-\nerk opened. The report was moved near the northern gate of\n\nANNUAL REPORT NOTES\n\n- 7 -\n\nthe clerk. The follow-\nup report was moved.\n4nnual gate.\n\nItems moved:\n- gate\n- report"
+    rows += [(100, "/v/annual-report-notes-0000001.pdf", 7, scan), (104, "/v/x.pdf", 1, "Gate\nReport\nSeason")] + [(101, "/v/x.pdf", None, None), (102, None, None, " ")]
+    rows += [(103, "/v/x.pdf", 1, "gate,46.6,87,\nreport,5,,3\n,7,8,9"), (104, "/v/x.pdf", 1, "Gate\nReport\nSeason")]
+    done = scans.repaired(spark.createDataFrame(rows, "id bigint, path string, page int, text string")).collect()
+    got = {r["id"]: r["text"] for r in done}
+    assert len(done) == len(got) == len({r[0] for r in rows})
+    assert got[100] == "The annual report was moved before the season of the clerk opened. The report was moved near the northern gate of the clerk. The follow-up report was moved.\nAnnual gate.\n\nItems moved:\n- gate\n- report"
+    assert got[0] == page.strip() and got[101] is None and got[102] == " " and got[103] == rows[-2][3] and got[104] == rows[-1][3]
+
+
 def test_repeated_lines_brute_force(spark, sf):
     chunks = spark.read.parquet(f"{sf}/chunks.parquet").select("chunk_id", "source_name", "text").distinct().collect()
     letters = lambda x: "".join(c for c in x.lower() if c.isalpha())
