@@ -28,6 +28,29 @@ BLOCK = 256
 BROADCAST_ROWS = 600_000
 
 
+def _nodes(w: np.ndarray, wd: np.ndarray, n: int) -> np.ndarray:
+    """A hash of the words of each of n texts in their order."""
+    first = np.searchsorted(wd, np.arange(n))
+    place = np.arange(len(w), dtype=np.uint64) - first[wd].astype(np.uint64)
+    node = np.zeros(n, np.uint64)
+    np.add.at(node, wd, K.mix(w + place * np.uint64(0x9E3779B97F4A7C15)))
+    return node
+
+
+def word_nodes(chunks: DataFrame) -> DataFrame:
+    """(id, node) of each text with a word, by the nodes of `signatures`."""
+
+    def of(batches):
+        for batch in batches:
+            n = batch.num_rows
+            w, wd = K.word_hashes(batch.column(1).to_pylist())
+            if len(w):
+                at = np.flatnonzero(np.bincount(wd, minlength=n))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(_nodes(w, wd, n)[at].view(np.int64))], names=["id", "node"])
+
+    return chunks.select("id", "text").where("id is not null and text is not null").mapInArrow(of, "id bigint, node bigint")
+
+
 def signatures(chunks: DataFrame, k: int, least: int) -> DataFrame:
     """(id, node, sketch, bands) of each text with at least `least` different shingles; node is a hash of its words."""
 
@@ -43,10 +66,7 @@ def signatures(chunks: DataFrame, k: int, least: int) -> DataFrame:
                 h = h * np.uint64(0xD6E8FEB86659FD93) + w[i : i + len(h)]
             same = wd[: len(h)] == wd[k - 1 :]
             h, doc = K.mix(h[same]), wd[: len(h)][same]
-            first = np.searchsorted(wd, np.arange(n))
-            place = np.arange(len(w), dtype=np.uint64) - first[wd].astype(np.uint64)
-            node = np.zeros(n, np.uint64)
-            np.add.at(node, wd, K.mix(w + place * np.uint64(0x9E3779B97F4A7C15)))
+            node = _nodes(w, wd, n)
             count = np.bincount(doc, minlength=n)
             bins = BANDS * ROWS
             sig = K.one_permutation(h, doc, n, bins)
@@ -199,16 +219,21 @@ def pairs_of_ids(links: DataFrame, members: DataFrame) -> DataFrame:
     return across.union(copies).select(F.least("id", "rep").alias("a"), F.greatest("id", "rep").alias("b")).distinct()
 
 
+#: Alike, as TESTDATA.md has it: 25 triples of words at least, and 0.6 of either set shared.
+ALIKE = {"k": 3, "least": 25, "share": 0.6, "jaccard": False}
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = table(spark, sf_dir, "chunks").select(F.col("chunk_id").alias("id"), "text")
-    links, members = similar_pairs(chunks, k=3, least=25, share=0.6, jaccard=False)
+    links, members = similar_pairs(chunks, **ALIKE)
     return pairs_of_ids(staged(links, "links"), members).select(F.col("a").alias("chunk_a"), F.col("b").alias("chunk_b"))
 
 
 def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row for each chunk in a group of alike texts (five words, Jaccard 0.8): class (exact copies), group, links of its class."""
+    """One row for each chunk in a group of alike texts (as in p4_found, and exact copies of any length): class (exact copies), group, links of its class."""
     chunks = table(spark, sf_dir, "chunks").select(F.col("chunk_id").alias("id"), "text")
-    links, members = similar_pairs(chunks)
+    links, members = similar_pairs(chunks, **ALIKE)
+    members = staged(members.union(word_nodes(chunks).join(members, "id", "left_anti").select("id", "node").distinct()), "members")
     links = staged(links.select("a", "b"), "links")
     group = components(links).withColumnRenamed("node", "n")
     degree = links.select(F.explode(F.array("a", "b")).alias("d")).groupBy("d").agg(F.count("*").alias("n_links"))

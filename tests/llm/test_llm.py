@@ -63,6 +63,19 @@ def test_near_duplicates_brute_force(spark, share, jaccard):
     assert none.count() == 0 and nobody.count() == 0
 
 
+def test_groups_at_the_threshold_of_the_pairs(spark, tmp_path):
+    rng = random.Random(8)
+    base = make(rng, 90).split()
+    edited = [w if i % 20 else make(rng, 1) for i, w in enumerate(base)]  # shares over 0.8 of the triples, Jaccard of five words under 0.8
+    short = make(rng, 10)
+    rows = [(1, " ".join(base)), (2, " ".join(edited)), (3, make(rng, 90)), (4, make(rng, 90)), (6, short), (7, short), (8, None)]
+    rows += [(5, rows[3][1]), (5, rows[3][1])]
+    spark.createDataFrame(rows, "chunk_id bigint, text string").write.parquet(f"{tmp_path}/chunks.parquet")
+    got = {r["chunk_id"]: (r["class_id"], r["group_id"], r["n_copies"], r["n_links"]) for r in neardup.p4_groups(spark, str(tmp_path)).collect()}
+    assert got == {1: (1, 1, 1, 1), 2: (2, 1, 1, 1), 4: (4, 4, 2, 0), 5: (4, 4, 2, 0), 6: (6, 6, 2, 0), 7: (6, 6, 2, 0)}
+    assert {tuple(r) for r in neardup.p4_found(spark, str(tmp_path)).collect()} == {(1, 2), (4, 5)}
+
+
 def test_characters(spark):
     rows = [(1, "ｆｕｌｌ"), (2, "café"), (3, "in​visible so­ft"), (4, "a b c"), (5, "раge Тһe sсan"), (6, "ﬁsh oﬃce"), (7, "Москва und Berlin α"), (8, "日本語、です（はい）。"), (9, None), (10, ""), (1, "ｆｕｌｌ")]
     got = {tuple(r) for r in unify.disguised(texts(spark, rows)).collect()}
