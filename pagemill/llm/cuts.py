@@ -27,8 +27,8 @@ from pagemill.runtime import prepare, small, staged, table
 #: Neighbouring lengths looked at on either side; ends a limit needs at least; false discovery rate; units below the limit that count (marks and split characters).
 NEAR, LEAST_ENDS, RATE, SLACK = 25, 5, 0.001, 4
 COMPLETE, OPEN, BROKEN = 0, 1, 2
-#: Least share of a source's texts, or of all texts, that end with a notice; whole sentences that begin with a pair of words, so that the pair shows a sentence begun.
-NOTICE, NOTICE_ANYWHERE, OPENINGS = 0.005, 0.0001, 10
+#: Least share of a source's texts, or of all texts, that end with a notice; share of the places where a pair of words begins a line or sentence at which the sentence is finished, so that the pair shows a sentence begun, and the one-sided normal quantile of the test that it's larger.
+NOTICE, NOTICE_ANYWHERE, OPENINGS, SURE = 0.005, 0.0001, 0.5, 1.645
 
 _ENDS = ".!?。！？"
 _CLOSERS = "\"'”’»)]）」』✓*†"
@@ -36,7 +36,8 @@ _REFERENCE = re.compile(r"\s*(?:\[\d{1,4}\]|\((?:[A-Z]?\d[\d.,-]*)\)|✓)\s*$")
 _MARKER = re.compile(r"\s*(?:[-–—•*·▪◦‣]|\d{1,3}[.)]|\(?[a-zA-Z][.)])\s+(?=\S)")
 _INSIDE = re.compile(r"[.!?]\s+[^\W\d_]|[。！？]\S")
 _START = re.compile(r"\s*([^\W\d_]+)['’ ]([^\W\d_]+)[\W\d]")
-_SENTENCE = re.compile(r"(?:^|(?<=[.!?] ))([^\W\d_]+)['’ ]([^\W\d_]+)[ ,'’(][^.!?\n]*(?=[.!?](?:\s|$))", re.M)
+_OPENING = re.compile(r"(?:^[ \t]*|(?<=[.!?] ))([^\W\d_]+)['’ ]([^\W\d_]+)(?=\W|$)", re.M)
+_FINISH = re.compile(r"(?:[^.!?\n]|[.!?](?!\s|$)|\n(?=[^\W\d_A-ZÀ-ÖØ-Þ]))*[.!?](?=\s|$)")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _FIELDS = ("|", "\t", ";", ",")
 
@@ -162,23 +163,40 @@ def _start_keys(pairs: list) -> np.ndarray:
 
 
 def _openings(batches):
-    """Counts of the first two words of whole sentences."""
+    """Counts of the first two words of lines and sentences: all, and those of finished sentences."""
     count: Counter = Counter()
+    whole: Counter = Counter()
 
     def out():
         pairs = list(count)
-        batch = pa.RecordBatch.from_arrays([pa.array(_start_keys(pairs)), pa.array([count[p] for p in pairs], pa.int64())], names=["start", "n"])
+        batch = pa.RecordBatch.from_arrays([pa.array(_start_keys(pairs)), pa.array([count[p] for p in pairs], pa.int64()), pa.array([whole[p] for p in pairs], pa.int64())], names=["start", "n", "whole"])
         count.clear()
+        whole.clear()
         return batch
 
     for batch in batches:
         for t in batch.column(0).to_pylist():
-            count.update([p for p in _SENTENCE.findall(t) if p[0][0].isupper()])
+            for m in _OPENING.finditer(t):
+                if m[1][0].isupper():
+                    count[m.groups()] += 1
+                    if _FINISH.match(t, m.end()):
+                        whole[m.groups()] += 1
         if len(count) > 300_000:
             yield out()
     yield out()
 
 
+def opening_pairs(texts: DataFrame) -> DataFrame:
+    """(start) of the pairs of words that go on to a finished sentence in more than OPENINGS of their places, by the lower
+    Wilson bound: a share, so that more of the same texts don't turn a heading into a sentence. One place is the
+    judged text's own unfinished end and doesn't count."""
+    n = texts.mapInArrow(_openings, "start bigint, n bigint, whole bigint").where("start <> 0").groupBy("start").agg(F.sum("n").alias("n"), F.sum("whole").alias("whole"))
+    n = n.withColumn("n", F.greatest(F.col("n") - 1, "whole")).where("whole > 0").withColumn("p", F.col("whole") / F.col("n"))
+    z = SURE * SURE
+    low = (F.col("p") + z / 2 / F.col("n") - SURE * F.sqrt(F.col("p") * (1 - F.col("p")) / F.col("n") + z / 4 / F.col("n") / F.col("n"))) / (1 + z / F.col("n"))
+    return n.where(low > OPENINGS).select("start")
+
+
 def limits(ends: DataFrame) -> DataFrame:
     """(source, unit, length, hazard, expected, p) of the lengths at which a source cuts its texts. One row per text in
     `ends`; null sources are one group. Window functions run over lengths of one source, not over its texts."""
@@ -219,7 +237,7 @@ def truncated(chunks: DataFrame, common: frozenset) -> tuple[DataFrame, DataFram
     everywhere = last.groupBy("key").agg(F.sum("n").alias("n")).join(ends.agg(F.count("*").alias("n_all")).hint("broadcast")).where((F.col("n") >= LEAST_ENDS) & (F.col("n") >= F.col("n_all") * NOTICE_ANYWHERE)).select("key")
     notices = notices.union(everywhere).distinct()
     maybe = maybe.join(notices, "key", "left_anti")
-    openings = chunks.select("text").mapInArrow(_openings, "start bigint, n bigint").groupBy("start").agg(F.sum("n").alias("n")).where(f"start <> 0 and n >= {OPENINGS}").select("start", F.lit(BROKEN).alias("opened"))
+    openings = opening_pairs(chunks.select("text")).withColumn("opened", F.lit(BROKEN))
     maybe = staged(maybe.join(openings, "start", "left").withColumn("ending", F.coalesce("opened", "ending")).drop("opened"), "maybe")
     hit = small(staged(found.select("source", "unit", F.explode(F.expr(f"sequence(length - {SLACK}, length)")).alias("length")).distinct(), "hit"), 500_000)
     at = maybe.select("id", "source", F.explode(F.expr("array(struct('chars' as unit, chars as length), struct('octets' as unit, octets as length))")).alias("u")).select("id", "source", "u.*")

@@ -145,6 +145,15 @@ def test_cut_texts(spark):
     assert {r["id"] for r in every.collect()} >= got
 
 
+def test_openings_by_share_at_any_size(spark):
+    body = ["The gate was moved. The clerk read 4.5 pages\nof it twice.", "Annual report of the gate", "Annual report notes", "Annual report was moved."]
+    few = texts(spark, list(enumerate(body * 4))).select("text")
+    many = texts(spark, list(enumerate(body * 60))).select("text")
+    keys = dict(zip(cuts._start_keys([("The", "gate"), ("The", "clerk"), ("Annual", "report")]).tolist(), ("gate", "clerk", "report")))
+    for t in (few, many):
+        assert {keys[r[0]] for r in cuts.opening_pairs(t).collect()} == {"gate", "clerk"}
+
+
 def test_ids_are_exact(spark):
     path = f"{tokens.TOKENIZERS}/byte_bpe_50k.tiktoken"
     plain = tokens.Engine(path)
