@@ -29,9 +29,9 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, same: bool = False) -> Da
     prepare(corpus.sparkSession)
     q = queries.where("embedding is not null").select("vec_id", "embedding")
     n = q.count()
-    q = q.withColumn("block", F.floor(F.percent_rank().over(W.orderBy("vec_id")) * (n // QUERY_BLOCK + 1))) if n > QUERY_BLOCK else q.withColumn("block", F.lit(0))
+    q = q.withColumn("block", F.floor((F.row_number().over(W.orderBy("vec_id")) - 1) / QUERY_BLOCK)) if n > QUERY_BLOCK else q.withColumn("block", F.lit(0))
     out = None
-    for b in range(n // QUERY_BLOCK + 1):
+    for b in range(-(-n // QUERY_BLOCK)):
         rows = q.where(F.col("block") == b).select("vec_id", "embedding").collect()
         if not rows:
             continue

@@ -112,3 +112,13 @@ def test_stream(spark, sf, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("tumbled").count() == windows.tumbling(e).count()
+
+
+def test_knn_in_blocks(spark, monkeypatch):
+    rows = [(i, [float(i * i % 17), float(i)]) for i in range(10)]
+    v = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    whole = {tuple(r) for r in retrieve.knn(v, v, 2).collect()}
+    assert len(whole) == 20
+    for block in (3, 5):
+        monkeypatch.setattr(retrieve, "QUERY_BLOCK", block)
+        assert {tuple(r) for r in retrieve.knn(v, v, 2).collect()} == whole
