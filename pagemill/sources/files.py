@@ -51,10 +51,13 @@ def scan(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def branches(files: DataFrame, readers: dict, strict: bool = False) -> DataFrame:
     """Each family through its reader (DataFrame to DataFrame), joined in a fixed order with missing columns as nulls.
-    strict: a file of an unknown family is an error, else it is left out."""
+    strict: a file of an unknown family or of one without a reader is an error, else it gives a row of path and error."""
+    read = F.coalesce(F.col("family").isin([f for f in ORDER if f in readers]), F.lit(False))
     if strict:
-        files = files.where(F.when(F.col("family").isNull(), F.raise_error(F.concat(F.lit("unsupported file: "), "path")).cast("boolean")).otherwise(F.lit(True)))
+        files = files.where(F.when(~read, F.raise_error(F.concat(F.lit("unsupported file: "), "path")).cast("boolean")).otherwise(F.lit(True)))
     parts = [readers[f](files.where(F.col("family") == f)) for f in ORDER if f in readers]
+    if not strict:
+        parts.append(files.where(~read).select("path", F.concat(F.lit("no reader: "), F.coalesce("family", F.lit("unknown family"))).alias("error")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)

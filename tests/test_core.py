@@ -122,3 +122,13 @@ def test_knn_in_blocks(spark, monkeypatch):
     for block in (3, 5):
         monkeypatch.setattr(retrieve, "QUERY_BLOCK", block)
         assert {tuple(r) for r in retrieve.knn(v, v, 2).collect()} == whole
+
+
+def test_files_without_a_reader_are_not_lost(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("one two")
+    (tmp_path / "b.pdf").write_bytes(b"%PDF")
+    (tmp_path / "c.odd").write_bytes(b"?")
+    with pytest.raises(PySparkException, match="unsupported file"):
+        Ingest(spark).files([f"{tmp_path}/a.txt", f"{tmp_path}/b.pdf"]).df.collect()
+    got = Ingest(spark).files([f"{tmp_path}/*"], strict=False).df.collect()
+    assert sorted((r["path"][-5:], r["text"], r["error"]) for r in got) == [("a.txt", "one two", None), ("b.pdf", None, "no reader: pdf"), ("c.odd", None, "no reader: unknown family")]
