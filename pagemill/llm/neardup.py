@@ -3,8 +3,9 @@
 Texts are sets of `k` consecutive words. Each text gets a signature of minima over the bins of one permutation; bands of
 the signature are bucket keys. A bucket of n texts gives n - 1 edges to one centre, never its pairs: first within each
 input batch (so a bucket that holds a third of all rows leaves the map side as one row a batch), then over the batches.
-Edges are kept where a one-byte sketch of the signature agrees often enough; the components of what is left are compared
-exactly, in blocks of bounded size. Exact copies are one class throughout.
+Edges are kept where a one-byte sketch of the signature agrees often enough. Small components of what is left are compared
+all against all; in larger ones only texts that share a bucket are, by their sketches first, in blocks of bounded size, so
+that a template which chains a component together doesn't make it quadratic. Exact copies are one class throughout.
 """
 
 from __future__ import annotations
@@ -18,11 +19,12 @@ from pagemill.llm import kernels as K
 from pagemill.operators.graph import components
 from pagemill.runtime import prepare, small, staged, table
 
-#: With 24 bands of 3 rows a pair at the lowest possible Jaccard similarity of the containment bound 0.6 (0.43) meets in
-#: some band with probability 0.86, one at 0.6 with 0.997; members of one component are all compared afterwards.
+#: With 24 bands of 3 rows a pair at a Jaccard similarity of 0.6 meets in some band with probability 0.997; members of one
+#: small component are all compared afterwards.
 BANDS, ROWS, SKETCH = 24, 3, 64
-#: Signature agreement below which an edge is dropped: 2.6 standard deviations under the lowest similarity of a true pair.
-AGREE = 0.27
+#: Standard deviations of the signature agreement, under the lowest similarity of a true pair, below which an edge is dropped.
+DEVIATIONS = 2.8
+#: Texts of a component that are compared all against all, and of a block beyond that.
 BLOCK = 256
 #: Rows of a staged key table that may be broadcast (under 20 MB); beyond it the join shuffles.
 BROADCAST_ROWS = 600_000
@@ -137,75 +139,133 @@ def candidate_edges(docs: DataFrame) -> DataFrame:
     return keyed.repartition("key").mapInArrow(across, "a bigint, b bigint").distinct()
 
 
-def _agreeing(edges: DataFrame, sketches: DataFrame) -> DataFrame:
+def agreement(share: float, least: int) -> float:
+    """The least signature agreement of an edge. Texts of few shingles fill few bins, the others repeat these."""
+    return share - DEVIATIONS * (share * (1 - share) / min(SKETCH, max(least, 16))) ** 0.5
+
+
+def _sketches(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SKETCH)
+
+
+def _agreeing(edges: DataFrame, sketches: DataFrame, agree: float) -> DataFrame:
     def keep(batches):
         for batch in batches:
             if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SKETCH) for i in (2, 3))
-                yield batch.filter(pa.array((x == y).mean(axis=1) >= AGREE)).select([0, 1])
+                yield batch.filter(pa.array((_sketches(batch.column(2)) == _sketches(batch.column(3))).mean(axis=1) >= agree)).select([0, 1])
 
     s = lambda end: sketches.select(F.col("node").alias(end), F.col("sketch").alias(f"sketch_{end}"))
     return edges.join(s("a"), "a").join(s("b"), "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(keep, "a bigint, b bigint")
 
 
-def similar_pairs(chunks: DataFrame, k: int = 5, least: int = 1, share: float = 0.8, jaccard: bool = True) -> tuple[DataFrame, DataFrame]:
+def _in_blocks(rows: DataFrame, by: list[str]) -> DataFrame:
+    """The rows once for each pair of blocks (x <= y) of their group; a group is cut into blocks by its size."""
+    sizes = rows.groupBy(*by).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    r = rows.join(sizes, by).withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
+    r = r.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return r.withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other")).drop("other", "blocks")
+
+
+def _near(agree: float):
+    """Of one pair of blocks of a bucket: the pairs of nodes whose sketches agree."""
+
+    def of(t: pa.Table) -> pa.Table:
+        node, block, s = t.column("node").to_numpy(), t.column("block").to_numpy(), _sketches(t.column("sketch").combine_chunks())
+        i, j = [], []
+        for k in range(len(node) - 1):
+            rest = np.flatnonzero((s[k + 1 :] == s[k]).mean(axis=1) >= agree) + k + 1
+            i.append(np.full(len(rest), k))
+            j.append(rest)
+        i, j = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (i, j))
+        if t.column("x")[0].as_py() != t.column("y")[0].as_py():
+            i, j = (v[block[i] != block[j]] for v in (i, j))
+        return pa.table({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])})
+
+    return of
+
+
+def _alike(shared: np.ndarray, a: np.ndarray, b: np.ndarray, share: float) -> np.ndarray:
+    return shared >= share * (a + b - shared) - 1e-9
+
+
+def _all_pairs(share: float):
+    """Of one component: its alike pairs, by the shingles they share."""
+
+    def of(t: pa.Table) -> pa.Table:
+        node, s = t.column("node").to_numpy(), t.column("s").combine_chunks()
+        size, h = np.diff(s.offsets.to_numpy()), s.flatten().to_numpy()
+        who = np.repeat(np.arange(len(node)), size)
+        order = np.argsort(h, kind="stable")
+        h, who = h[order], who[order]
+        shared = np.zeros((len(node), len(node)), np.int64)
+        starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        for s0, s1 in zip(starts, np.r_[starts[1:], len(h)]):
+            if s1 - s0 > 1:
+                w = who[s0:s1]
+                shared[np.ix_(w, w)] += 1
+        i, j = np.nonzero(np.triu(shared, 1))
+        c = shared[i, j]
+        ok = _alike(c, size[i], size[j], share)
+        i, j, c = i[ok], j[ok], c[ok]
+        return pa.table({"a": node[i], "b": node[j], "shared": c, "size_a": size[i].astype(np.int64), "size_b": size[j].astype(np.int64)})
+
+    return of
+
+
+def _check(share: float):
+    """Keeps the alike ones of pairs that carry both sets."""
+
+    def of(batches):
+        for batch in batches:
+            sets = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in (batch.column(2), batch.column(3))]
+            size = [np.diff(o) for o, _ in sets]
+            shared = np.array([len(np.intersect1d(*(v[o[k] : o[k + 1]] for o, v in sets), assume_unique=True)) for k in range(batch.num_rows)], np.int64)
+            ok = pa.array(_alike(shared, size[0], size[1], share))
+            rows = [batch.column(0), batch.column(1), pa.array(shared), pa.array(size[0].astype(np.int64)), pa.array(size[1].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(rows, names=["a", "b", "shared", "size_a", "size_b"]).filter(ok)
+
+    return of
+
+
+LINKS = "a bigint, b bigint, shared bigint, size_a bigint, size_b bigint"
+
+
+def similar_pairs(chunks: DataFrame, k: int = 5, least: int = 1, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """The pairs of alike texts among (id, text) rows: links (a, b, shared, size_a, size_b) between different texts, by
     node, and members (id, node) of all texts that were compared, each id once.
 
-    Alike: Jaccard similarity of the shingle sets >= share, or, with jaccard=False, shared shingles >= share of either set.
-    Null, blank and short texts (fewer than `least` different shingles) are no members. Repeated rows count once, equal
-    word sequences are one node, extra columns are ignored, an empty table gives empty results.
+    Alike: the Jaccard similarity of the shingle sets is at least `share`. Null, blank and short texts (fewer than `least`
+    different shingles) are no members. Repeated rows count once, equal word sequences are one node, extra columns are
+    ignored, an empty table gives empty results.
     """
     prepare(chunks.sparkSession)
+    agree = agreement(share, least)
     docs = staged(signatures(chunks.select("id", "text").where("id is not null and text is not null"), k, least), "signatures")
     members = docs.select("id", "node").distinct()
-    reps = members.groupBy("node").agg(F.min("id").alias("id"))
     sketches = docs.groupBy("node").agg(F.first("sketch").alias("sketch"))
-    edges = staged(_agreeing(candidate_edges(docs), sketches), "edges")
-    comp = staged(components(edges).join(reps, "node"), "components")
+    edges = staged(_agreeing(candidate_edges(docs), sketches, agree), "edges")
+    comp = components(edges)
     sizes = comp.groupBy("component").agg(F.count("*").alias("n"))
-    comp = comp.join(sizes, "component").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
+    reps = members.groupBy("node").agg(F.min("id").alias("id"))
+    comp = staged(comp.join(sizes, "component").join(reps, "node").select("id", "node", "component", "n"), "components")
 
     def sets(batches):
         for batch in batches:
             if batch.num_rows:
                 h, off, _ = K.unique_shingles(batch.column(0).to_pylist(), k)
                 s = pa.LargeListArray.from_arrays(pa.array(off.astype(np.int64)), pa.array(h.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), batch.column(3), batch.column(4), s.cast(pa.list_(pa.int64()))], names=["node", "component", "block", "blocks", "s"])
-
-    wanted = small(staged(comp.select("id", "node", "component", "block", "blocks"), "wanted"), BROADCAST_ROWS)
-    with_text = chunks.select("id", "text").where("text is not null").join(wanted, "id").select("text", "node", "component", "block", "blocks")
-    rows = with_text.mapInArrow(sets, "node bigint, component bigint, block int, blocks int, s array<bigint>")
-    # each block meets every other block of its component in one task: (x, y) with x <= y
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other")).drop("other", "blocks")
-
-    def compare(t: pa.Table) -> pa.Table:
-        node, block = t.column("node").to_numpy(), t.column("block").to_numpy()
-        _, keep = np.unique(node, return_index=True)  # rows sent again
-        node, block = node[keep], block[keep]
-        s = t.column("s").combine_chunks()
-        at, flat = s.offsets.to_numpy(), s.values.to_numpy()
-        parts = [flat[at[i] : at[i + 1]] for i in keep]
-        size = np.array([len(p) for p in parts], np.int64)
-        n, one = len(node), t.column("x")[0].as_py() == t.column("y")[0].as_py()
-        h, who = np.concatenate(parts), np.repeat(np.arange(n), size)
-        order = np.argsort(h, kind="stable")
-        h, who = h[order], who[order]
-        shared = np.zeros((n, n), np.int32)
-        starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-        for s0, s1 in zip(starts, np.r_[starts[1:], len(h)]):
-            if s1 - s0 > 1:
-                w = who[s0:s1]
-                shared[np.ix_(w, w)] += 1
-        i, j = np.nonzero(np.triu(shared, 1))
-        c = shared[i, j]
-        ok = (c >= share * (size[i] + size[j] - c) - 1e-9) if jaccard else (c >= share * np.maximum(size[i], size[j]) - 1e-9)
-        if not one:
-            ok &= block[i] != block[j]
-        i, j, c = i[ok], j[ok], c[ok]
-        return pa.table({"a": node[i], "b": node[j], "shared": c.astype(np.int64), "size_a": size[i], "size_b": size[j]})
-
-    links = rows.groupBy("component", "x", "y").applyInArrow(compare, "a bigint, b bigint, shared bigint, size_a bigint, size_b bigint")
+                yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), batch.column(3), s.cast(pa.list_(pa.int64()))], names=["node", "component", "n", "s"])
+
+    with_text = chunks.select("id", "text").where("text is not null").join(small(comp, BROADCAST_ROWS), "id").select("text", "node", "component", "n")
+    rows = with_text.mapInArrow(sets, "node bigint, component bigint, n bigint, s array<bigint>")
+    rows = staged(rows.dropDuplicates(["node"]), "sets")
+    links = rows.where(f"n <= {BLOCK}").select("node", "component", "s").groupBy("component").applyInArrow(_all_pairs(share), LINKS)
+    large = comp.where(f"n > {BLOCK}")
+    if not large.isEmpty():
+        held = docs.join(large.select("node", "component"), "node").dropDuplicates(["node"]).select("component", "node", "sketch", F.explode("bands").alias("key"))
+        pairs = _in_blocks(held, ["component", "key"]).groupBy("component", "key", "x", "y").applyInArrow(_near(agree), "a bigint, b bigint").distinct()
+        s = lambda end: rows.where(f"n > {BLOCK}").select(F.col("node").alias(end), F.col("s").alias(f"s_{end}"))
+        links = links.union(pairs.join(s("a"), "a").join(s("b"), "b").select("a", "b", "s_a", "s_b").mapInArrow(_check(share), LINKS))
     return links, members
 
 
@@ -219,8 +279,8 @@ def pairs_of_ids(links: DataFrame, members: DataFrame) -> DataFrame:
     return across.union(copies).select(F.least("id", "rep").alias("a"), F.greatest("id", "rep").alias("b")).distinct()
 
 
-#: Alike, as TESTDATA.md has it: 25 triples of words at least, and 0.6 of either set shared.
-ALIKE = {"k": 3, "least": 25, "share": 0.6, "jaccard": False}
+#: Alike, as TESTDATA.md has it: 25 triples of words at least, and of the triples in either text 0.6 in both.
+ALIKE = {"k": 3, "least": 25, "share": 0.6}
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

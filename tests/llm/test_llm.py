@@ -26,8 +26,10 @@ def test_word_hashes_match_words():
     assert h[0] == h[2] and h[1] == h[3] and list(doc[:4]) == [0] * 4 and set(doc) == {0, 3}
 
 
-@pytest.mark.parametrize("share,jaccard", [(0.6, False), (0.8, True)])
-def test_near_duplicates_brute_force(spark, share, jaccard):
+@pytest.mark.parametrize("share,block", [(0.6, 256), (0.8, 256), (0.6, 3)])
+def test_near_duplicates_brute_force(spark, share, block, monkeypatch):
+    """A small block makes every component a large one."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
     rng = random.Random(3)
     rows = []
     for g in range(25):
@@ -47,9 +49,9 @@ def test_near_duplicates_brute_force(spark, share, jaccard):
 
     s = {i: sets(t) for i, t, _ in data}
     s = {i: x for i, x in s.items() if len(x) >= least}
-    alike = lambda x, y: len(x & y) >= share * (len(x | y) if jaccard else max(len(x), len(y)))
+    alike = lambda x, y: len(x & y) >= share * len(x | y)
     truth = {(a, b) for a in s for b in s if a < b and alike(s[a], s[b])}
-    links, members = neardup.similar_pairs(texts(spark, data, "id bigint, text string, node string"), k, least, share, jaccard)
+    links, members = neardup.similar_pairs(texts(spark, data, "id bigint, text string, node string"), k, least, share)
     got = {tuple(r) for r in neardup.pairs_of_ids(links, members).collect()}
     assert got <= truth
     first = {}
@@ -59,10 +61,24 @@ def test_near_duplicates_brute_force(spark, share, jaccard):
     apart = {p for p in truth if first[text[p[0]]] == p[0] and first[text[p[1]]] == p[1]}  # pairs of representatives
     assert len(apart & got) >= 0.98 * len(apart)
     assert (0, next(i for i, t, _ in data if t == rows[0] and i)) in got
-    none, nobody = neardup.similar_pairs(texts(spark, [(1, None)]), k, least, share, jaccard)
+    none, nobody = neardup.similar_pairs(texts(spark, [(1, None)]), k, least, share)
     assert none.count() == 0 and nobody.count() == 0
 
 
+def test_pairs_of_all_chunks(spark, sf):
+    """Recall over a whole table of pairs of different texts at the stated threshold, the union written out."""
+    first = {}
+    for i, t in spark.read.parquet(f"{sf}/chunks.parquet").select("chunk_id", "text").distinct().collect():
+        w = tuple(re.findall(r"[^\W_]+", (t or "").lower()))
+        if len({w[i : i + 3] for i in range(len(w) - 2)}) >= 25:
+            first[w] = min(i, first.get(w, i))
+    s = {i: {w[k : k + 3] for k in range(len(w) - 2)} for w, i in first.items()}
+    truth = {(a, b) for a in s for b in s if a < b and len(s[a] & s[b]) >= 0.6 * len(s[a] | s[b])}
+    got = {tuple(r) for r in neardup.p4_found(spark, sf).collect()}
+    assert truth and len(truth & got) >= 0.98 * len(truth)
+    assert {p for p in got if p[0] in s and p[1] in s} <= truth
+
+
 def test_groups_at_the_threshold_of_the_pairs(spark, tmp_path):
     rng = random.Random(8)
     base = make(rng, 90).split()
