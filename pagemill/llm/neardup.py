@@ -25,7 +25,7 @@ BANDS, ROWS, SKETCH = 24, 3, 64
 #: Standard deviations of the signature agreement, under the lowest similarity of a true pair, below which an edge is dropped.
 DEVIATIONS = 2.8
 #: Texts of a component that are compared all against all, and of a block beyond that.
-BLOCK = 256
+BLOCK = 1024
 #: Rows of a staged key table that may be broadcast (under 20 MB); beyond it the join shuffles.
 BROADCAST_ROWS = 600_000
 
@@ -189,22 +189,23 @@ def _alike(shared: np.ndarray, a: np.ndarray, b: np.ndarray, share: float) -> np
 
 
 def _all_pairs(share: float):
-    """Of one component: its alike pairs, by the shingles they share."""
+    """Of one component: its alike pairs, by the shingles they share; nodes sent again count once."""
 
     def of(t: pa.Table) -> pa.Table:
-        node, s = t.column("node").to_numpy(), t.column("s").combine_chunks()
+        node, first = np.unique(t.column("node").to_numpy(), return_index=True)
+        s = t.column("s").combine_chunks().take(pa.array(first))
         size, h = np.diff(s.offsets.to_numpy()), s.flatten().to_numpy()
         who = np.repeat(np.arange(len(node)), size)
         order = np.argsort(h, kind="stable")
         h, who = h[order], who[order]
-        shared = np.zeros((len(node), len(node)), np.int64)
+        shared = np.zeros((len(node), len(node)), np.int32)
         starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
         for s0, s1 in zip(starts, np.r_[starts[1:], len(h)]):
             if s1 - s0 > 1:
                 w = who[s0:s1]
                 shared[np.ix_(w, w)] += 1
         i, j = np.nonzero(np.triu(shared, 1))
-        c = shared[i, j]
+        c = shared[i, j].astype(np.int64)
         ok = _alike(c, size[i], size[j], share)
         i, j, c = i[ok], j[ok], c[ok]
         return pa.table({"a": node[i], "b": node[j], "shared": c, "size_a": size[i].astype(np.int64), "size_b": size[j].astype(np.int64)})
@@ -258,13 +259,13 @@ def similar_pairs(chunks: DataFrame, k: int = 5, least: int = 1, share: float =
 
     with_text = chunks.select("id", "text").where("text is not null").join(small(comp, BROADCAST_ROWS), "id").select("text", "node", "component", "n")
     rows = with_text.mapInArrow(sets, "node bigint, component bigint, n bigint, s array<bigint>")
-    rows = staged(rows.dropDuplicates(["node"]), "sets")
     links = rows.where(f"n <= {BLOCK}").select("node", "component", "s").groupBy("component").applyInArrow(_all_pairs(share), LINKS)
     large = comp.where(f"n > {BLOCK}")
     if not large.isEmpty():
         held = docs.join(large.select("node", "component"), "node").dropDuplicates(["node"]).select("component", "node", "sketch", F.explode("bands").alias("key"))
         pairs = _in_blocks(held, ["component", "key"]).groupBy("component", "key", "x", "y").applyInArrow(_near(agree), "a bigint, b bigint").distinct()
-        s = lambda end: rows.where(f"n > {BLOCK}").select(F.col("node").alias(end), F.col("s").alias(f"s_{end}"))
+        held = staged(rows.where(f"n > {BLOCK}").dropDuplicates(["node"]).select("node", "s"), "sets")
+        s = lambda end: held.select(F.col("node").alias(end), F.col("s").alias(f"s_{end}"))
         links = links.union(pairs.join(s("a"), "a").join(s("b"), "b").select("a", "b", "s_a", "s_b").mapInArrow(_check(share), LINKS))
     return links, members
 
