@@ -22,6 +22,16 @@ def test_nested_forms(spark):
     two = {("text", 0), ("images", 0), ("images", 2), ("structured", 0)}
     assert got == {(1, "text", 0), (1, "text", 2), (1, "structured", 0)} | {(k, *x) for k in (2, 6) for x in two}
     assert nested.nearby_objects(spark.createDataFrame([], SCHEMA)).count() == 0
+    values = {(r["record_id"], r["family"], r["pos"]): (r["content"], r["bbox"], r["type"]) for r in nested.nearby_objects(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert values[1, "text", 0] == ("x", [0.0, 0.0, 1.0], None) and values[1, "structured", 0] == (None, [1.0, 2.0, 3.0, 4.0], "table")
+    assert values[2, "text", 0] == ("one", None, None) and values[2, "images", 2] == (None, [1.0, 2.0], None) and values[6, "structured", 0] == ("only", None, None)
+
+
+def test_nested_last_received(spark):
+    one = lambda text, box: json.dumps({"hierarchy": {"nearby_objects": {"text": {"content": text, "bbox": box}}}})
+    rows = [(1, None, one(["a", "b"], None), "2020-01-02"), (1, None, one(["c"], [0, 0, 1, 2]), "2020-01-03"), (1, None, one(["d"], None), None)]
+    df = spark.createDataFrame(rows, f"{SCHEMA.replace('extra string', 'received_at string')}")
+    assert [tuple(r) for r in nested.nearby_objects(df).collect()] == [(1, "text", 0, "c", [0.0, 0.0, 1.0, 2.0], None)]
 
 
 def test_nested_brute_force(spark, sf):
@@ -43,6 +53,16 @@ def test_nested_brute_force(spark, sf):
                 parts = [x if isinstance(x, list) else [x] for x in v.values() if x is not None]
                 truth |= {(r["record_id"], f, i) for x in parts for i, y in enumerate(x) if y is not None}
     assert {tuple(r) for r in nested.p3_found(spark, sf).collect()} == truth
+    last = {}
+    for r in spark.read.parquet(f"{sf}/extractions.parquet").collect():
+        if r["record_id"] not in last or r["received_at"] > last[r["record_id"]]["received_at"]:
+            last[r["record_id"]] = r
+    got = nested.p3_records(spark, sf).collect()
+    assert len(got) == len(last) and all(r["received_at"] == last[r["record_id"]]["received_at"] for r in got)
+    for r in got:
+        c = last[r["record_id"]]["content_metadata"]
+        if c is not None:
+            assert (r["type"], r["page_number"], r["page"]) == (c["type"], c["page_number"], c["hierarchy"] and c["hierarchy"]["page"])
 
 
 def test_components(spark):
