@@ -25,13 +25,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def table(kind: str) -> np.ndarray:
-    """Boolean table by code point: 'alnum' or 'alpha'."""
+    """Boolean table by code point: 'alnum', 'alpha', 'digit', 'space', or else the characters of `kind` itself."""
     if kind not in _cache:
-        test = str.isalnum if kind == "alnum" else str.isalpha
+        test = {"alnum": str.isalnum, "alpha": str.isalpha, "digit": str.isdigit, "space": str.isspace}.get(kind, frozenset(kind).__contains__)
         _cache[kind] = np.fromiter((test(chr(c)) for c in range(_TABLE_SIZE)), bool, _TABLE_SIZE)
     return _cache[kind]
 
 
+def counts(a: np.ndarray, sep: np.ndarray, kind: str) -> np.ndarray:
+    """How many characters of the kind each text of code_points has."""
+    total = np.r_[0, np.cumsum(lookup(a, kind))]
+    return total[sep] - total[np.r_[0, sep[:-1] + 1]]
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "pow" not in _cache or len(_cache["pow"][0]) < n:
         size = 1 << max(16, int(n).bit_length())

@@ -4,6 +4,7 @@ import base64
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -234,3 +235,17 @@ def test_quality(spark, sf):
     assert [got[-i]["kind"] for i in (1, 2, 3, 4)] == ["table", "list", "junk", None] and -5 not in got and -6 not in got
     assert abs(sum(got[-1]["contributions"]) - got[-1]["distance"]) < 1e-6 * got[-1]["distance"]
     assert quality.outliers(texts(spark, []), common).count() == 0
+    stats = quality.p10_statistics(spark, sf).collect()
+    assert len(stats) == docs.where("rlike(text, '\\\\S')").count() and all(r["leading"] in quality.STATS and r["distance"] >= 0 for r in stats)
+
+
+def test_kinds_follow_from_contributions():
+    """Without its distance or its contributions a document has no kind, and the group that contributes most decides."""
+    c = np.zeros((4, quality.D))
+    c[0, quality.STATS.index("list_part")] = c[1, quality.STATS.index("table_part")] = c[2, quality.STATS.index("vowels")] = c[3, quality.STATS.index("log_words")] = 900.0
+    yes, far = np.ones(4, bool), np.full(4, 900.0)
+    assert quality.kinds_of(far, c, yes, yes * 0.9) == ["list", "table", "junk", None]
+    assert quality.kinds_of(far * 0.01, c, yes, yes * 0.9) == [None] * 4
+    assert quality.kinds_of(far, c, ~yes, yes * 0.2) == [None] * 4
+    c[0, quality.STATS.index("table_part")] = 1000.0
+    assert quality.kinds_of(far, c, yes, yes * 0.9)[0] == "table"
