@@ -1,8 +1,8 @@
 """Texts cut off by field limits or in transfer.
 
 The hazard of a length in a source is the share of its texts that end at that length among those that reach it. Window
-functions give each length's hazard and that of its neighbours; where a length holds far more ends than the neighbours
-foretell (a Chernoff bound of the Poisson tail, false discoveries controlled over all tests) the source has a limit there.
+functions give each length's hazard and that of its neighbours; where far more texts end than reach the length times the
+neighbours' hazard (a Chernoff bound of the Poisson tail, false discoveries controlled over all tests) the source has a limit there.
 At a limit every ending that isn't complete is a cut. Elsewhere only an ending that can't be one: inside a sentence, a
 bracket, a word's bytes or a table row.
 """
@@ -198,24 +198,27 @@ def opening_pairs(texts: DataFrame) -> DataFrame:
 
 
 def limits(ends: DataFrame) -> DataFrame:
-    """(source, unit, length, hazard, expected, p) of the lengths at which a source cuts its texts. One row per text in
-    `ends`; null sources are one group. Window functions run over lengths of one source, not over its texts."""
+    """(source, unit, length, hazard, near_hazard, p) of the lengths at which a source cuts its texts: those at which more
+    texts end than reach them times the hazard of the neighbouring lengths foretells. One row per text in `ends`; null
+    sources are one group. Window functions run over lengths of one source, not over its texts."""
     both = ends.select("source", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("length")), F.struct(F.lit("octets").alias("unit"), F.col("octets").alias("length")))).alias("u")).select("source", "u.*")
     counts = both.groupBy("source", "unit", "length").agg(F.count("*").alias("n"))
     by = W.partitionBy("source", "unit")
     c = counts.withColumn("reach", F.sum("n").over(by.orderBy(F.desc("length"))))
     near = by.orderBy("length").rangeBetween(-NEAR, NEAR)
-    # the neighbours' hazard without the largest of them: two limits may be close to each other
-    c = c.withColumn("hazard", F.col("n") / F.col("reach")).withColumn("others", F.sum("n").over(near) - F.col("n"))
-    # (ends nearby + 1) a length: no neighbour foretells nothing at all
-    c = c.withColumn("expected", (F.col("others") + 1) / F.lit(2.0 * NEAR))
+    # at risk: the texts that reach a length, over it and the lengths before it at which none ends; none is below the shortest
+    gap = F.least(F.coalesce(F.col("length") - F.lag("length").over(by.orderBy("length")), F.lit(1)), F.lit(NEAR))
+    c = c.withColumn("hazard", F.col("n") / F.col("reach")).withColumn("risk", F.col("reach") * gap)
+    c = c.withColumn("others", F.sum("n").over(near) - F.col("n")).withColumn("risk", F.greatest(F.sum("risk").over(near) - F.col("reach"), "reach"))
+    # one end more than there are: no neighbour foretells nothing at all
+    c = c.withColumn("near_hazard", (F.col("others") + 1) / F.col("risk")).withColumn("expected", F.col("reach") * F.col("near_hazard"))
     c = c.withColumn("log_p", F.when((F.col("n") >= LEAST_ENDS) & (F.col("n") > F.col("expected")), -(F.col("n") * F.log(F.col("n") / F.col("expected")) - F.col("n") + F.col("expected"))).otherwise(0.0))
     # Benjamini-Hochberg over all tests by a histogram of -log p in steps of 0.1: a table of bounded size, not a global sort
     steps = c.withColumn("step", F.least(F.floor(-F.col("log_p") * 10), F.lit(5000)))
     hist = steps.groupBy("step").agg(F.count("*").alias("m"))
     hist = hist.withColumn("rank", F.sum("m").over(W.orderBy(F.desc("step")))).withColumn("tests", F.sum("m").over(W.partitionBy()))
     cut = hist.where(F.exp(-F.col("step") / 10) <= RATE * F.col("rank") / F.col("tests")).agg(F.min("step").alias("cut"))
-    return steps.join(F.broadcast(cut), F.col("step") >= F.col("cut")).where("step > 0").select("source", "unit", "length", "hazard", "expected", F.exp("log_p").alias("p"))
+    return steps.join(F.broadcast(cut), F.col("step") >= F.col("cut")).where("step > 0").select("source", "unit", "length", "hazard", "near_hazard", F.exp("log_p").alias("p"))
 
 
 def truncated(chunks: DataFrame, common: frozenset) -> tuple[DataFrame, DataFrame]:

@@ -25,6 +25,8 @@ from pagemill.runtime import prepare, table
 LANGUAGES = ("en", "de", "fr", "es", "it", "vi", "ru", "ja")
 #: Bound of the sample of labelled texts that the model is fitted on, rounds of expectation maximisation, longest piece in bytes, smoothing.
 FIT_ROWS, EM_ROUNDS, LONGEST, ALPHA = 8_000, 2, 12, 0.02
+#: Of the sample, the model is fitted on words met so often at least (those met once are names for the most part), and on so many bytes of a word.
+LEAST_MET, FIT_BYTES = 2, 96
 #: A sentence has a language of its own with so many words (or Japanese characters) and such odds (natural logarithm) over the next language.
 LEAST_WORDS, LEAST_CHARS, ODDS = 3, 6, 4.0
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -121,7 +123,7 @@ def _expect(counts: Counter, of: dict[bytes, int], p: dict[int, float], floor: f
     """Expected piece counts of the words under all segmentations."""
     out: Counter = Counter()
     for word, n in counts.items():
-        w = _bytes(word)[:96]
+        w = _bytes(word)[:FIT_BYTES]
         arcs = _arcs(w, of)
         a = [1.0] + [0.0] * len(w)
         for e, x in enumerate(arcs, 1):
@@ -154,7 +156,7 @@ def fit(texts: list[tuple[str, str]], common: list[tuple[str, str]], folder: str
             counts[lang].update(words)
         p_all: list[tuple[dict[int, float], float]] = []
         for lang in LANGUAGES:
-            words = Counter({w: n for w, n in counts[lang].items() if n > 1})  # words met once are names for the most part
+            words = Counter({w: n for w, n in counts[lang].items() if n >= LEAST_MET})
             for w, n in list(words.items()):  # texts lose their accents at times
                 if (x := bare(w)) != w:
                     words[x] += max(1, n // 4)
@@ -239,8 +241,13 @@ def segments(text: str, model: dict, cache: dict) -> list[tuple[int, int, str, f
 
 
 def _model(sample: DataFrame, common: DataFrame, folder: str) -> dict:
-    """Fits on at most FIT_ROWS labelled texts, those with the least hash of id and text."""
-    rows = sample.where("text is not null and label is not null").orderBy(F.xxhash64("id", "text")).limit(FIT_ROWS).select("label", "text").collect()
+    """Fits on at most FIT_ROWS labelled texts, those with the least hash of id and text. A bound on the hash by the number
+    of texts comes first, so that what the partitions send to the driver doesn't grow with their number."""
+    sample = sample.where("text is not null and label is not null").select("label", "text", F.xxhash64("id", "text").alias("h"))
+    n = sample.count()
+    if n > 2 * FIT_ROWS:
+        sample = sample.where(F.col("h") < int(-(2**63) + 2**64 * 1.1 * FIT_ROWS / n))
+    rows = sample.orderBy("h").limit(FIT_ROWS).select("label", "text").collect()
     words = [(r["language"], r["word"]) for r in common.collect()]  # a fixed table
     return fit([(label_of(r["label"]) or "", r["text"]) for r in rows], words, folder)
 
@@ -285,8 +292,8 @@ def _cases(batches):
 
 def p7_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The segments of all chunks, each chunk once."""
-    chunks = table(spark, sf_dir, "chunks").select(F.col("chunk_id").alias("id"), F.lit(None).cast("string").alias("label"), "text")
-    return identify(chunks, _fitted(spark, sf_dir)).distinct().select(F.col("id").alias("chunk_id"), F.col("start").alias("start_at"), F.col("end").alias("end_at"), "language", F.round("confidence", 6).alias("confidence"), F.col("words").alias("n_words"))
+    chunks = table(spark, sf_dir, "chunks").select(F.col("chunk_id").alias("id"), F.lit(None).cast("string").alias("label"), "text").dropDuplicates(["id"])
+    return identify(chunks, _fitted(spark, sf_dir)).select(F.col("id").alias("chunk_id"), F.col("start").alias("start_at"), F.col("end").alias("end_at"), "language", F.round("confidence", 6).alias("confidence"), F.col("words").alias("n_words"))
 
 
 QUERIES = {"p7_found": p7_found, "p7_segments": p7_segments}

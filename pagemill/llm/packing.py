@@ -10,6 +10,7 @@ ranked in buckets.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -66,24 +67,57 @@ def patterns(counts: dict[int, int], capacity: int) -> list[tuple[int, list[tupl
     return out
 
 
+def _numbered(df: DataFrame, by: list[str]) -> DataFrame:
+    """The rows of (by, bucket, id, part) with `rank`, their number from 0 within `by`: ranks within a bucket and the
+    counts of the buckets before it, so that no group is sorted in one task."""
+    n = df.groupBy(*by, "bucket").agg(F.count("*").alias("n"))
+    ahead = W.partitionBy(*by).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    base = n.withColumn("base", F.coalesce(F.sum("n").over(ahead), F.lit(0))).drop("n")
+    ranked = df.withColumn("r", F.row_number().over(W.partitionBy(*by, "bucket").orderBy("id", "part")) - 1)
+    return ranked.join(base, [*by, "bucket"]).withColumn("rank", F.col("r") + F.col("base")).drop("r", "base")
+
+
+PLACED = "limit_id int, container bigint, id bigint, part int, size int"
+
+
+def _place(slots: list[tuple]):
+    """The container of each (limit_id, size, rank, id, part): the slot of its length that its rank falls in, by binary
+    search over the slots in the order of limit, length and first rank."""
+    table = np.array(sorted(slots), np.int64).reshape(-1, 6)
+    groups, first = np.unique(table[:, 0] << 32 | table[:, 1], return_index=True)
+    last = np.r_[first[1:], len(table)]
+
+    def of(batches):
+        for batch in batches:
+            limit, size, rank = (batch.column(c).to_numpy().astype(np.int64) for c in range(3))
+            key, at = limit << 32 | size, np.zeros(batch.num_rows, np.int64)
+            for g in np.unique(key):
+                k, rows = np.searchsorted(groups, g), np.flatnonzero(key == g)
+                at[rows] = first[k] + np.searchsorted(table[first[k] : last[k], 2], rank[rows], side="right") - 1
+            container = table[at, 5] + (rank - table[at, 2]) // table[at, 4]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(container), batch.column(3), batch.column(4), batch.column(1)], names=["limit_id", "container", "id", "part", "size"])
+
+    return of
+
+
 def packed(items: DataFrame, limits: dict[int, int]) -> DataFrame:
     """(limit_id, container, id, part, size): the container of every part of every item (id, size), for each capacity.
 
-    An item larger than a capacity is divided: full parts have containers of their own, the rest is an item. Items with a
-    null or no size are left out; equal ids are items of their own only if they differ in size, so ids should be unique.
+    An item larger than a capacity is divided: full parts have containers of their own, numbered downwards from -1, the
+    rest is an item. Items with a null or no size are left out; equal ids are items of their own only if they differ in
+    size, so ids should be unique. An empty table gives an empty result; extra columns are dropped.
     """
     spark = prepare(items.sparkSession)
     lim = spark.createDataFrame([(k, v) for k, v in limits.items()], "limit_id int, capacity int")
-    pieces = items.where("id is not null and size > 0").select("id", "size").crossJoin(F.broadcast(lim))
-    full = pieces.where("size >= capacity").select("limit_id", "id", F.explode(F.expr("sequence(0, int(size div capacity) - 1)")).alias("part"), F.col("capacity").alias("size"))
-    rest = pieces.where("size % capacity > 0").select("limit_id", "id", F.expr("int(size div capacity)").alias("part"), F.expr("int(size % capacity)").alias("size"))
-    full, rest = staged(full, "full"), staged(rest.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int")), "rest")
-    by_bucket = rest.groupBy("limit_id", "size", "bucket").agg(F.count("*").alias("n"))
-    by_bucket = staged(by_bucket, "lengths")
-    slots, first = [], {}
+    # the capacities are the caller's few
+    pieces = items.where("id is not null and size > 0").select("id", "size").crossJoin(F.broadcast(lim)).withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int"))
+    full = pieces.where("size >= capacity").select("limit_id", "id", "bucket", F.explode(F.expr("sequence(0, int(size div capacity) - 1)")).alias("part"), F.col("capacity").alias("size"))
+    rest = pieces.where("size % capacity > 0").select("limit_id", "id", "bucket", F.expr("int(size div capacity)").alias("part"), F.expr("int(size % capacity)").alias("size"))
+    full, rest = staged(full, "full"), staged(rest, "rest")
+    slots = []
     for limit_id, capacity in limits.items():
         # at most one row a length
-        counts = {r["size"]: r["n"] for r in by_bucket.where(F.col("limit_id") == limit_id).groupBy("size").agg(F.sum("n").alias("n")).collect()}
+        counts = {r["size"]: r["n"] for r in rest.where(F.col("limit_id") == limit_id).groupBy("size").agg(F.count("*").alias("n")).collect()}
         placed: dict[int, int] = {}
         container = 0
         for times, used in patterns(counts, capacity):
@@ -91,17 +125,10 @@ def packed(items: DataFrame, limits: dict[int, int]) -> DataFrame:
                 slots.append((limit_id, n, placed.get(n, 0), placed.get(n, 0) + k * times, k, container))
                 placed[n] = placed.get(n, 0) + k * times
             container += times
-        first[limit_id] = container
-    slot = spark.createDataFrame(slots, "limit_id int, size int, lo bigint, hi bigint, k int, container bigint")
-    ahead = W.partitionBy("limit_id", "size").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    base = by_bucket.withColumn("base", F.coalesce(F.sum("n").over(ahead), F.lit(0))).drop("n")
-    ranked = rest.withColumn("r", F.row_number().over(W.partitionBy("limit_id", "size", "bucket").orderBy("id", "part")) - 1)
-    ranked = ranked.join(base, ["limit_id", "size", "bucket"]).withColumn("rank", F.col("r") + F.col("base"))
     # the slots are at most as many as lengths times patterns of a capacity, whatever the number of items
-    placed = ranked.join(F.broadcast(slot), ["limit_id", "size"]).where("rank >= lo and rank < hi")
-    placed = placed.select("limit_id", (F.col("container") + F.floor((F.col("rank") - F.col("lo")) / F.col("k"))).alias("container"), "id", "part", "size")
-    alone = full.withColumn("container", -1 - F.xxhash64("id", "part").bitwiseAND(F.lit(0x7FFFFFFFFFFFFFF)))
-    return placed.unionByName(alone.select("limit_id", "container", "id", "part", "size"))
+    ranked = _numbered(rest, ["limit_id", "size"]).select("limit_id", "size", "rank", "id", "part")
+    alone = _numbered(full, ["limit_id"]).withColumn("container", -1 - F.col("rank"))
+    return ranked.mapInArrow(_place(slots), PLACED).unionByName(alone.select("limit_id", "container", "id", "part", "size"))
 
 
 def _sizes(spark: SparkSession, sf_dir: str, tokenizer: str) -> DataFrame:

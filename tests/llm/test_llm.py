@@ -162,6 +162,19 @@ def test_cut_texts(spark):
     assert {r["id"] for r in every.collect()} >= got
 
 
+def test_limits_by_neighbouring_hazards(spark):
+    """As many ends at a length are a limit where few texts reach it, and none where the neighbours' hazard foretells them."""
+    rows, k = [], 0
+    for source, extra in (("plain", 0), ("cut", 40)):
+        for length in range(100, 180):
+            for _ in range(max(1, round(300 * 0.93 ** (length - 100))) + (extra if length == 160 else 0)):
+                rows.append((k, source, length, length * 2 + k % 7))
+                k += 1
+    found = cuts.limits(spark.createDataFrame(rows, "id bigint, source string, chars int, octets int")).collect()
+    assert {(r["source"], r["length"]) for r in found if r["unit"] == "chars"} == {("cut", 160)}
+    assert all(r["hazard"] > r["near_hazard"] for r in found)
+
+
 def test_openings_by_share_at_any_size(spark):
     body = ["The gate was moved. The clerk read 4.5 pages\nof it twice.", "Annual report of the gate", "Annual report notes", "Annual report was moved."]
     few = texts(spark, list(enumerate(body * 4))).select("text")
@@ -207,6 +220,9 @@ def test_packing(spark):
         parts = [r["id"] for r in rows]
         assert all(parts.count(i) == 1 for i in whole[:200])
         assert len(room) <= 1.01 * sum(size.values()) / cap + 1
+        full = sorted(r["container"] for r in rows if r["container"] < 0)
+        assert full == list(range(-len(full), 0)) and min(r["container"] for r in rows if r["container"] >= 0) == 0
+    assert packing.packed(spark.createDataFrame([], "id bigint, size int"), {1: 100}).count() == 0
     best = packing.fill({30: 2, 25: 1, 9: 3}, 64)
     assert sum(n * k for n, k in best) == 64
 
@@ -214,6 +230,17 @@ def test_packing(spark):
 def test_languages(spark, sf):
     common = [(r["language"], r["word"]) for r in spark.read.parquet(f"{sf}/common_words.parquet").collect()]
     obs = spark.read.parquet(f"{sf}/observations.parquet").where("text is not null and language is not null").collect()
+    rows = [(i, "en", f"the report {i}") for i in range(300)]
+    kept = []
+    for parts in (4, 40):
+        held = []
+        fit, languages_fit = languages.fit, lambda t, c, f: held.extend(t)
+        languages.fit, bound = languages_fit, languages.FIT_ROWS
+        languages.FIT_ROWS = 20
+        languages._model(spark.createDataFrame(rows, "id bigint, label string, text string").repartition(parts), spark.createDataFrame([], "language string, word string"), "")
+        languages.fit, languages.FIT_ROWS = fit, bound
+        kept.append(sorted(held))
+    assert kept[0] == kept[1] and 10 <= len(kept[0]) <= 20
     model = languages.fit([(languages.label_of(r["language"]), r["text"]) for r in obs], common)
     cases = {"en": "The report of the annual clerk was moved before the season.", "de": "Der Bericht zeigt die wichtigsten Zahlen ohne weitere Erklärung.", "fr": "Le contrat montre les règles d'accès pour tous les participants.", "vi": "Kho hang cu xac nhan danh sach thiet bi cho den cuoi tuan.", "ru": "Старый архив проверяет весь журнал Norbel.", "ja": "この報告書は検査の間に、別の型を示しています。"}
     for lang, t in cases.items():
