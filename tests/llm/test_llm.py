@@ -190,9 +190,26 @@ def test_ids_are_exact(spark):
     rng = random.Random(2)
     odd = ["", None, " ", "\n\n  x", "a" * 3000, "日本語" * 400, "<|endoftext|> it's", "x  y 　 z\t\t\n" * 90, "🙂é" * 200]
     rows = [(i, t) for i, t in enumerate(odd)] + [(100 + i, make(rng, rng.randrange(1, 900)) + " '" * (i % 3)) for i in range(60)]
-    for r in tokens.encoded(texts(spark, rows)).collect():
-        t = dict(rows)[r["id"]]
-        assert r["ids"] == (plain.encoding.encode_ordinary(t) if t else [])
+    passage = make(rng, 700)
+    rows += [(200 + i, make(rng, 90) + " " + passage + "." * (i % 2) + make(rng, i)) for i in range(12)] + [(300 + i, "見出し" * i + "この報告書は検査の間に、別の型を示しています。" * 60) for i in range(4)]
+    rows += [(0, passage), (0, ""), (0, None), (None, passage), (211, passage), (200, dict(rows)[200])]
+    ids = lambda t: plain.encoding.encode_ordinary(t) if t else []
+    got = tokens.encoded(texts(spark, rows)).collect()
+    assert sorted((r["id"] or -1, r["ids"]) for r in got) == sorted((i or -1, ids(t)) for i, t in rows)
+    assert tokens.encoded(texts(spark, [])).count() == 0
+
+
+def test_shared_chunks_are_encoded_once(spark, monkeypatch):
+    """A passage of many texts is the same chunks in all of them, wherever it stands."""
+    rng = random.Random(6)
+    passage = make(rng, 1500)
+    many = [make(rng, 40 + i) + " " + passage for i in range(8)]
+    doc, start, end, h = tokens.boundaries(many)
+    seen: dict = {}
+    for d, a, b, x in zip(doc, start, end, h):
+        seen.setdefault(x, []).append(many[d][a:b])
+    assert all(len(set(v)) == 1 for v in seen.values()) and sum(len(v) == 8 for v in seen.values()) > 5
+    assert ["".join(t[a:b] for k, a, b in zip(doc, start, end) if k == d) for d, t in enumerate(many)] == many
 
 
 def test_vocabulary_pattern_matches_library():
