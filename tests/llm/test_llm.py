@@ -146,6 +146,27 @@ def test_repeated_lines_brute_force(spark, sf):
     assert sum(left.values()) <= len(truth)
 
 
+def test_republished_articles_are_no_boilerplate(spark, tmp_path):
+    """Twelve lightly edited copies of one article share its lines; a notice stands in eight articles of several days."""
+    rng = random.Random(9)
+    article = [make(rng, 14) for _ in range(9)]
+    rows, files = [], []
+    for i in range(40):
+        own = [make(rng, 12) for _ in range(8)]
+        body = [*article[:8], article[8] + f" edition {i}"] if i < 12 else own
+        rows.append((i, f"f{i}", "site", "\n".join(body + (["Read our legal notice here"] if 12 <= i < 20 else [])), "2024-05-05 00:00:00"))
+        files.append((f"f{i}", f"2024-01-{1 + i % 9:02d}T10:00:00"))
+    rows += [rows[0], (90, None, "site", None, "2024-05-05 00:00:00")]
+    spark.createDataFrame(rows, "chunk_id bigint, source_id string, source_name string, text string, at string").selectExpr("*", "timestamp(at) as extracted_at").write.parquet(f"{tmp_path}/chunks.parquet")
+    spark.createDataFrame(files, "source_id string, date_created string").write.parquet(f"{tmp_path}/sources.parquet")
+    got = lines.p6_lines(spark, str(tmp_path)).collect()
+    assert sorted((r["n_chunks"], r["n_clusters"], r["boilerplate"]) for r in got) == [(8, 8, True)] + [(12, 1, False)] * 9
+    clean = {r["chunk_id"]: r for r in lines.p6_clean(spark, str(tmp_path)).collect()}
+    assert len(clean) == 41 and clean[3]["text"] == rows[3][3] and clean[15]["n_dropped"] == 1 and clean[90]["text"] is None
+    assert not clean[15]["text"].endswith("here")
+    assert lines.p6_found(spark, str(tmp_path)).count() == 12 * 9 + 8
+
+
 def test_cut_texts(spark):
     rng = random.Random(5)
     rows = []
