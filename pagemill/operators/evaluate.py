@@ -8,17 +8,14 @@ from pyspark.sql import functions as F
 from pagemill.functions import text as T
 from pagemill.runtime import table
 
-# Words that say nothing about an answer's content.
-STOP = "a an the of to in on at by for with and or is are was were be been it this that from as not has have had".split()
-
-
 def fidelity_tier(content_type: Column, needs_ocr: Column, page_image: Column) -> Column:
     """How close an element's text is to its source."""
+    t = F.lower(content_type)
     return (
-        F.when(content_type.isin("audio", "video"), "transcribed")
-        .when(content_type == "image", F.when(page_image, "ocr").otherwise("vlm_caption"))
-        .when(content_type.rlike("^(table|chart|infographic)"), "ocr")
-        .when(content_type == "text", F.when(needs_ocr, "ocr").otherwise("verbatim"))
+        F.when(t.isin("audio", "video", "video_frame"), "transcribed")
+        .when(t == "image", F.when(page_image, "ocr").otherwise("vlm_caption"))
+        .when(t.rlike("^(table|chart|infographic)"), "ocr")
+        .when(t == "text", F.when(needs_ocr, "ocr").otherwise("verbatim"))
     )
 
 
@@ -31,39 +28,30 @@ def content_types(spec: str, aliases: dict[str, str] | None = None) -> list[str]
     return sorted(set(names))
 
 
-def answer_in_context(reference: Column, context: Column, share: float = 0.5) -> Column:
-    """Whether that share of the reference's content words is in the context; true if it has none."""
-    words = F.array_except(T.tokens(T.normalise_answer(reference)), F.array(*map(F.lit, STOP)))
-    hit = F.size(F.array_intersect(words, T.tokens(T.normalise_answer(context))))
-    return F.when(F.size(words) == 0, True).otherwise(hit >= share * F.size(words))
-
-
 def _pairs(s, d) -> DataFrame:
-    """Answers to score: the text a model read in a chunk against the chunk's text, one a chunk."""
-    o = table(s, d, "observations").where("text is not null and trim(text) <> ''")
-    o = o.groupBy("chunk_id").agg(F.min(F.struct("observation_id", "text", "model", "score", "language")).alias("o")).select("chunk_id", "o.*")
+    """Answers to score: each text a model read in a chunk, once, against the chunk's text."""
+    o = table(s, d, "observations").where("text is not null and trim(text) <> ''").groupBy("observation_id").agg(F.min(F.struct("chunk_id", "text", "model", "score", "error")).alias("o")).select("observation_id", "o.chunk_id", F.col("o.text").alias("answer"), "o.model", "o.score", "o.error")
     c = table(s, d, "chunks").where("text is not null and trim(text) <> ''").groupBy("chunk_id").agg(F.min("text").alias("reference"))
-    ascii_only = lambda c: F.regexp_replace(c, r"[^\x20-\x7E]+", " ")
-    return o.join(c, "chunk_id").select("observation_id", "model", "score", ascii_only(F.col("text")).alias("answer"), ascii_only(F.col("reference")).alias("reference"))
+    return o.join(c, "chunk_id")
 
 
 def answer_normalise(s, d):
-    return _pairs(s, d).select("observation_id", F.md5(T.normalise_answer(F.col("answer"))).alias("answer_md5"))
+    return _pairs(s, d).select("observation_id", F.md5(T.comparable(T.without_thinking(F.col("answer")))).alias("answer_md5"))
 
 
 def token_f1(s, d):
-    p = _pairs(s, d).select("observation_id", T.tokens(T.normalise_answer(F.col("answer"))).alias("a"), T.tokens(T.normalise_answer(F.col("reference"))).alias("r"))
-    return p.select("observation_id", T.token_f1(F.col("a"), F.col("r")).alias("f1"), (F.array_join("a", " ") == F.array_join("r", " ")).alias("exact"))
+    return _pairs(s, d).select("observation_id", T.token_scores(F.col("answer"), F.col("reference")).alias("t")).select("observation_id", "t.*")
 
 
 def answer_in_context_share(s, d):
-    p = _pairs(s, d).withColumn("ok", answer_in_context(F.col("answer"), F.col("reference")))
+    p = _pairs(s, d).withColumn("ok", T.answer_in_context(F.col("answer"), F.col("reference")))
     return p.groupBy("model").agg(F.count("*").alias("n"), F.round(F.avg(F.col("ok").cast("int")), 6).alias("share"))
 
 
 def failure_mode_breakdown(s, d):
-    p = _pairs(s, d)
-    mode = F.when(F.col("answer").rlike(T.REFUSAL), "refused").when(F.col("score").isNull(), "not_scored").when(F.col("score") >= 0.75, "correct").when(F.col("score") >= 0.25, "partial").otherwise("wrong")
+    """The answer stands for the reference answer, the chunk for the context."""
+    p = _pairs(s, d).withColumn("ok", T.answer_in_context(F.col("answer"), F.col("reference")))
+    mode = T.failure_mode(F.col("ok"), F.col("score"), F.col("error"), F.col("answer"))
     return p.groupBy("model", mode.alias("mode")).agg(F.count("*").alias("n"))
 
 
@@ -120,17 +108,21 @@ def audio_recall(s, d):
 
 QUERIES = {f.__name__: f for f in (answer_normalise, token_f1, answer_in_context_share, failure_mode_breakdown, qa_rollup, language_metric_rollup, latency_percentiles, fidelity_tiers, content_type_filter, hit_normalise, evidence_projection, audio_recall)}
 
-_ASCII = lambda c: f"regexp_replace({c}, '[^\\x20-\\x7E]+', ' ', 'g')"
-_NORM = lambda c: f"replace(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower({c}), '([0-9])\\.([0-9])', '\\1\x01\\2', 'g'), '[^a-z0-9\x01 ]', ' ', 'g'), '\\b(a|an|the)\\b', ' ', 'g'), ' +', ' ', 'g'), ' '), '\x01', '.')"
-_PAIRS = f"SELECT observation_id, model, score, {_ASCII('o.text')} AS answer, {_ASCII('c.reference')} AS reference FROM (SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY observation_id) AS n FROM observations WHERE text IS NOT NULL AND trim(text, ' ') <> '') o JOIN (SELECT chunk_id, min(text) AS reference FROM chunks WHERE text IS NOT NULL AND trim(text, ' ') <> '' GROUP BY 1) c USING (chunk_id) WHERE n = 1"
+_TAGS = lambda c: f"trim(regexp_replace(regexp_replace({c}, '<think>.*?</think>', '', 'gs'), '<think>.*', '', 's'), ' ')"
+_NUMBERS = lambda c: f"regexp_replace(regexp_replace(regexp_replace({c}, ',([0-9]{{3}})', '\\1', 'g'), '([0-9]+\\.[0-9]*[1-9])0*', '\\1', 'g'), '([0-9]+)\\.0+([^0-9]|$)', '\\1\\2', 'g')"
+# no lookaround here: twice, since neighbouring articles share a boundary
+_DROP = lambda c: f"regexp_replace({c}, '(^|[^\\p{{L}}\\p{{N}}_])(a|an|the)($|[^\\p{{L}}\\p{{N}}_])', '\\1 \\3', 'g')"
+_NORM = lambda c: f"trim(regexp_replace(replace(regexp_replace(regexp_replace({_DROP(_DROP(f'lower({_NUMBERS(c)})'))}, '([0-9])\\.([0-9])', '\\1\x01\\2', 'g'), '[!-/:-@\\[-`{{-~]', '', 'g'), '\x01', '.'), '[\\s\\p{{Z}}]+', ' ', 'g'), ' ')"
+_PAIRS = "SELECT observation_id, model, score, error, o.text AS answer, reference FROM (SELECT observation_id, unnest(min({'chunk_id': chunk_id, 'text': text, 'model': model, 'score': score, 'error': error})) FROM observations WHERE text IS NOT NULL AND trim(text, ' ') <> '' GROUP BY 1) o JOIN (SELECT chunk_id, min(text) AS reference FROM chunks WHERE text IS NOT NULL AND trim(text, ' ') <> '' GROUP BY 1) c USING (chunk_id)"
 _TOK = lambda c: f"list_filter(string_split({_NORM(c)}, ' '), lambda x: x <> '')"
-_STOP = ", ".join(repr(x) for x in STOP)
+_STOP = ", ".join(repr(x) for x in T.STOP)
+_IN = f"SELECT *, len(a) = 0 OR len(list_filter(a, lambda x: list_contains(r, x))) / len(a) >= 0.5 AS ok FROM (SELECT *, list_filter({_TOK('answer')}, lambda x: x NOT IN ({_STOP})) AS a, list_distinct({_TOK('reference')}) AS r FROM ({_PAIRS}))"
 _STEM = lambda c: f"regexp_replace(regexp_extract({c}, '([^/\\\\]*)$', 1), '\\.[^.]*$', '')"
 SQL = {
-    "answer_normalise": f"SELECT observation_id, md5({_NORM('answer')}) AS answer_md5 FROM ({_PAIRS})",
-    "token_f1": f"WITH p AS (SELECT observation_id, {_TOK('answer')} AS a, {_TOK('reference')} AS r FROM ({_PAIRS})), x AS (SELECT observation_id, a, r, coalesce(list_sum(list_transform(list_distinct(a), lambda t: least(len(list_filter(a, lambda u: u = t)), len(list_filter(r, lambda u: u = t))))), 0) AS n FROM p) SELECT observation_id, CASE WHEN len(a) = 0 AND len(r) = 0 THEN 1.0::DOUBLE WHEN n = 0 THEN 0.0::DOUBLE ELSE round(2 * (n / len(a)) * (n / len(r)) / (n / len(a) + n / len(r)), 4) END AS f1, array_to_string(a, ' ') = array_to_string(r, ' ') AS exact FROM x",
-    "answer_in_context_share": f"WITH p AS (SELECT model, list_distinct(list_filter({_TOK('answer')}, lambda x: x NOT IN ({_STOP}))) AS a, {_TOK('reference')} AS r FROM ({_PAIRS})) SELECT model, count(*) AS n, round(avg(CASE WHEN len(a) = 0 OR len(list_filter(a, lambda x: list_contains(r, x))) >= 0.5 * len(a) THEN 1 ELSE 0 END), 6) AS share FROM p GROUP BY 1",
-    "failure_mode_breakdown": f"SELECT model, CASE WHEN regexp_matches(answer, '{T.REFUSAL.replace(chr(39), chr(39) * 2)}') THEN 'refused' WHEN score IS NULL THEN 'not_scored' WHEN score >= 0.75 THEN 'correct' WHEN score >= 0.25 THEN 'partial' ELSE 'wrong' END AS mode, count(*) AS n FROM ({_PAIRS}) GROUP BY 1, 2",
+    "answer_normalise": f"SELECT observation_id, md5({_NORM(_TAGS('answer'))}) AS answer_md5 FROM ({_PAIRS})",
+    "token_f1": f"WITH p AS (SELECT observation_id, {_TOK(_TAGS('answer'))} AS a, {_TOK('reference')} AS r FROM ({_PAIRS})), x AS (SELECT observation_id, a, r, coalesce(list_sum(list_transform(list_distinct(a), lambda t: least(len(list_filter(a, lambda u: u = t)), len(list_filter(r, lambda u: u = t))))), 0) AS n FROM p) SELECT observation_id, array_to_string(a, ' ') = array_to_string(r, ' ') AS exact_match, " + ", ".join(f"CASE WHEN len(a) = 0 AND len(r) = 0 THEN 1.0::DOUBLE WHEN n = 0 THEN 0.0::DOUBLE ELSE round({v}, 4) END AS {k}" for k, v in (("f1", "2 * (n / len(a)) * (n / len(r)) / (n / len(a) + n / len(r))"), ("precision", "n / len(a)"), ("recall", "n / len(r)"))) + " FROM x",
+    "answer_in_context_share": f"SELECT model, count(*) AS n, round(avg(ok::INT), 6) AS share FROM ({_IN}) GROUP BY 1",
+    "failure_mode_breakdown": f"SELECT model, CASE WHEN error = 'thinking_truncated' THEN error WHEN score IS NULL THEN 'judge_error' WHEN score >= 0.75 THEN 'correct' WHEN regexp_matches(answer, '(?i){'|'.join(T.NO_CONTEXT)}') THEN CASE WHEN ok THEN 'refused_with_context' ELSE 'refused_missing_context' END WHEN score >= 0.25 THEN 'partial' WHEN ok THEN 'generation_miss' ELSE 'retrieval_miss' END AS mode, count(*) AS n FROM ({_IN}) GROUP BY 1, 2",
     "qa_rollup": "WITH o AS (SELECT observation_id, min(model) AS model, min(score) AS score, bool_or(error IS NOT NULL) AS failed FROM observations GROUP BY 1) SELECT model, round(avg(score), 4) AS mean_score, count_if(round(score * 4) / 4 = 0) AS n_0, count_if(round(score * 4) / 4 = 0.25) AS n_25, count_if(round(score * 4) / 4 = 0.5) AS n_50, count_if(round(score * 4) / 4 = 0.75) AS n_75, count_if(round(score * 4) / 4 = 1) AS n_100, count_if(failed) AS n_failed FROM o GROUP BY 1",
     "language_metric_rollup": "SELECT CASE WHEN grouping(l) = 1 THEN 'overall' ELSE coalesce(l, 'unlabelled') END AS language, count(*) AS n, round(avg(length(text)), 4) AS mean_chars FROM (SELECT lower(trim(lang, ' ')) AS l, text FROM documents WHERE text IS NOT NULL) GROUP BY ROLLUP (l)",
     "latency_percentiles": "SELECT event_type, round(quantile_cont(value, 0.5), 3) AS p50, round(quantile_cont(value, 0.95), 3) AS p95 FROM events GROUP BY 1",

@@ -39,13 +39,15 @@ def diff(old: DataFrame, new: DataFrame, keys: list[str], values: list[str]) ->
 
 
 def put(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Update-only merge: matched rows take the update's values, nothing is inserted. A blank or unknown key is an error,
-    raised inside the job by the rows that have it."""
-    u = updates.select(key, F.struct(*[c for c in updates.columns if c != key]).alias("_u"))
+    """Update-only merge: matched rows take the update's values, nulls too, nothing is inserted. A null, unknown or repeated
+    key of the updates is an error, raised inside the job by the rows that have it."""
+    fail = lambda what: F.raise_error(F.concat(F.lit(what), F.coalesce(F.col(key).cast("string"), F.lit("null")))).cast("boolean")
+    u = updates.groupBy(key).agg(F.count("*").alias("_n"), F.first(F.struct(*[c for c in updates.columns if c != key])).alias("_u"))
     j = target.withColumn("_there", F.lit(True)).join(u, key, "full")
-    ok = F.when(F.col("_there").isNull(), F.raise_error(F.concat(F.lit("no such id: "), F.coalesce(F.col(key).cast("string"), F.lit("null")))).cast("boolean")).otherwise(F.lit(True))
+    ok = F.when(F.col("_there").isNull(), fail("no such id: ")).when(F.col("_n") > 1, fail("repeated id: ")).otherwise(F.lit(True))
     have = set(updates.columns)
-    return j.where(ok).select(*[F.coalesce(F.col("_u")[c], F.col(c)).alias(c) if c in have and c != key else F.col(c) for c in target.columns])
+    pick = lambda c: F.when(F.col("_n").isNotNull(), F.col("_u")[c]).otherwise(F.col(c)).alias(c) if c in have and c != key else F.col(c)
+    return j.where(ok).select(*map(pick, target.columns))
 
 
 def expand(edges: DataFrame, start: DataFrame, hops: int) -> DataFrame:
@@ -80,7 +82,8 @@ def schema_diff_full_outer(s, d):
 
 def put_update_only(s, d):
     t = table(s, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    return put(t, t.where("o_orderkey % 3 = 0").select("o_orderkey", F.lit("X").alias("o_orderstatus")), "o_orderkey")
+    u = t.where("o_orderkey % 3 = 0").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, "X").alias("o_orderstatus"))
+    return put(t, u, "o_orderkey")
 
 
 def _fk(s, d) -> DataFrame:
@@ -212,7 +215,7 @@ SQL = {
     "content_hash_dedup": "SELECT md5(text) AS text_md5, min(doc_id) AS doc_id, count(*) AS n_copies FROM documents WHERE text IS NOT NULL AND trim(text, ' ') <> '' GROUP BY 1",
     "sidecar_left_first_match": f"WITH s AS (SELECT source_id, source_name FROM ({_LATEST})), r AS (SELECT * FROM (SELECT *, {_KEY('source')} AS k, row_number() OVER (PARTITION BY {_KEY('source')} ORDER BY meta_b NULLS LAST, meta_a NULLS LAST, source) AS n FROM sidecar) WHERE n = 1 AND k <> '') SELECT source_id, source_name, meta_a, meta_b FROM s LEFT JOIN r ON {_KEY('source_id')} = k",
     "schema_diff_full_outer": "WITH o AS (SELECT * FROM (SELECT source_id, last_modified, partition_id, row_number() OVER (PARTITION BY source_id ORDER BY last_modified NULLS FIRST, partition_id NULLS FIRST) AS n FROM sources) WHERE n = 1 AND partition_id % 5 <> 0), w AS (SELECT * FROM (SELECT source_id, last_modified, partition_id, row_number() OVER (PARTITION BY source_id ORDER BY last_modified DESC NULLS LAST, partition_id DESC NULLS LAST) AS n FROM sources) WHERE n = 1 AND partition_id % 7 <> 0) SELECT coalesce(o.source_id, w.source_id) AS source_id, CASE WHEN o.source_id IS NULL THEN 'added' WHEN w.source_id IS NULL THEN 'removed' WHEN o.last_modified IS DISTINCT FROM w.last_modified THEN 'changed' ELSE 'same' END AS state FROM o FULL JOIN w USING (source_id)",
-    "put_update_only": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders",
+    "put_update_only": "SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN 'X' WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders",
     "fk_expand_3hop": "WITH RECURSIVE e AS (SELECT 'nation:' || n_nationkey AS a, 'region:' || n_regionkey AS b FROM nation UNION SELECT 'customer:' || c_custkey, 'nation:' || c_nationkey FROM customer UNION SELECT 'supplier:' || s_suppkey, 'nation:' || s_nationkey FROM supplier), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(node, hop) AS (SELECT 'supplier:1', 0 UNION SELECT u.b, hop + 1 FROM r JOIN u ON u.a = node WHERE hop < 3) SELECT node, min(hop) AS hop FROM r GROUP BY 1",
     "distinct_edges": "SELECT DISTINCT least(l_suppkey, l_partkey % 100) AS a, greatest(l_suppkey, l_partkey % 100) AS b FROM lineitem",
     "union_null_pad": "SELECT r_regionkey AS id, r_name AS region_name, NULL::VARCHAR AS nation_name FROM region UNION ALL SELECT n_nationkey, NULL, n_name FROM nation",

@@ -5,6 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from pagemill.functions import text as T
 from pagemill.operators import graph, nested, ordered, relational, retrieve
 from pagemill.plans.pipeline import Ingest
 from pagemill.sources import files as S
@@ -88,8 +89,21 @@ def test_components(spark):
 def test_put_errors_and_order(spark):
     t = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
     assert {tuple(r) for r in relational.put(t, spark.createDataFrame([(2, "x")], "id int, v string"), "id").collect()} == {(1, "a"), (2, "x")}
-    with pytest.raises(PySparkException):
-        relational.put(t, spark.createDataFrame([(3, "x")], "id int, v string"), "id").collect()
+    assert {tuple(r) for r in relational.put(t, spark.createDataFrame([(2, None)], "id int, v string"), "id").collect()} == {(1, "a"), (2, None)}
+    for bad in ([(3, "x")], [(1, "x"), (1, "y")], [(None, "x")]):
+        with pytest.raises(PySparkException):
+            relational.put(t, spark.createDataFrame(bad, "id int, v string"), "id").collect()
+
+
+def test_answer_scores(spark):
+    rows = [("Don't use the 16.00% of 1,000, a 205.60!", "dont use 16 of 1000 205.6"), ("<think>x</think>cat", "The cat"), ("<think>open", ""), ("", "x"), (None, None), ("the the cat cat", "cat")]
+    got = [r["t"] for r in spark.createDataFrame(rows, "a string, r string").select(T.token_scores(F.col("a"), F.col("r")).alias("t")).collect()]
+    assert [(t["exact_match"], t["f1"]) for t in got] == [(True, 1.0), (True, 1.0), (True, 1.0), (False, 0.0), (True, 1.0), (False, 0.6667)]
+    words = spark.createDataFrame([("alpha alpha beta gamma", "alpha"), ("of the", ""), ("alpha beta gamma", "alpha")], "a string, c string")
+    assert [r[0] for r in words.select(T.answer_in_context(F.col("a"), F.col("c"))).collect()] == [True, True, False]
+    cases = [(True, 0.9, None, "x", "correct"), (True, None, None, "x", "judge_error"), (True, None, "thinking_truncated", "", "thinking_truncated"), (False, 0.5, None, "It is not mentioned.", "refused_missing_context"), (True, 0.0, None, "no information", "refused_with_context"), (True, 0.3, None, "x", "partial"), (True, 0.0, None, None, "generation_miss"), (False, 0.0, None, "x", "retrieval_miss")]
+    df = spark.createDataFrame(cases, "ok boolean, s double, e string, a string, want string")
+    assert all(r[0] == r[1] for r in df.select(T.failure_mode(F.col("ok"), F.col("s"), F.col("e"), F.col("a")), "want").collect())
 
 
 def test_runs_and_windows(spark):
