@@ -20,9 +20,9 @@ def fidelity_tier(content_type: Column, needs_ocr: Column, page_image: Column) -
 
 
 def content_types(spec: str, aliases: dict[str, str] | None = None) -> list[str]:
-    """An allow-list from comma-separated names with aliases; an empty one is an error."""
-    aliases = {"caption": "image", "images": "image", "tables": "table", "charts": "chart"} | (aliases or {})
-    names = [aliases.get(x, x) for x in (y.strip().lower() for y in spec.split(",")) if x]
+    """An allow-list from comma-separated names with aliases, a caption's being its base type; an empty one is an error."""
+    aliases = {"images": "image", "tables": "table", "charts": "chart", "texts": "text"} | (aliases or {})
+    names = [aliases.get(x, x) for x in (y.strip().lower().removesuffix("_caption") for y in spec.split(",")) if x]
     if not names:
         raise ValueError("no content type is left")
     return sorted(set(names))
