@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pagemill.functions import geometry as G
+from pagemill.operators.nested import nearby_objects
 from pagemill.runtime import table
 
 
@@ -52,13 +53,8 @@ def fuse_boxes(df: DataFrame, threshold: float = 0.55) -> DataFrame:
 
 
 def _boxes(s, d) -> DataFrame:
-    """Boxes of the records' natively nested objects: (record_id, family, pos, b)."""
-    e = table(s, d, "extractions").where("content_metadata is not null")
-    out = None
-    for f in ("text", "images", "structured"):
-        x = e.select("record_id", F.lit(f).alias("family"), F.posexplode(f"content_metadata.hierarchy.nearby_objects.{f}.bbox").alias("pos", "b"))
-        out = x if out is None else out.union(x)
-    return out.where(G.valid(F.col("b"))).dropDuplicates(["record_id", "family", "pos"])
+    """Boxes of the records' nested objects, in either form: (record_id, family, pos, b)."""
+    return nearby_objects(table(s, d, "extractions")).select("record_id", "family", "pos", F.col("bbox").alias("b")).where(G.valid(F.col("b")))
 
 
 def bbox_iou_anti(s, d):
@@ -90,7 +86,11 @@ def box_fusion(s, d):
 
 QUERIES = {f.__name__: f for f in (bbox_iou_anti, bbox_union, box_inclusion_anti, assign_words_to_cells, box_fusion)}
 
-_B = "SELECT record_id, family, pos, any_value(b) AS b FROM (" + " UNION ALL ".join(f"SELECT record_id, '{f}' AS family, unnest(range(len(x))) AS pos, unnest(x) AS b FROM (SELECT record_id, content_metadata.hierarchy.nearby_objects.{f}.bbox AS x FROM extractions)" for f in ("text", "images", "structured")) + ") WHERE len(b) = 4 AND b[3] > b[1] AND b[4] > b[2] GROUP BY 1, 2, 3"
+_LAST = "SELECT * FROM extractions WHERE record_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY received_at DESC NULLS LAST) = 1"
+_JSON = f"SELECT record_id, json_extract(coalesce(json_extract(j, '$.metadata.content_metadata'), json_extract(j, '$.content_metadata'), json_extract(j, '$.metadata'), j), '$.hierarchy.nearby_objects') AS n FROM (SELECT record_id, try_cast(raw_metadata AS JSON) AS j FROM ({_LAST}) WHERE content_metadata IS NULL)"
+_ITEM = "CASE json_type(e) WHEN 'ARRAY' THEN list_transform(json_extract(e, '$[*]'), lambda v: v::DOUBLE) WHEN 'OBJECT' THEN [" + ", ".join(f"json_extract(e, '$.{k}')::DOUBLE" for k in ("x0", "y0", "x1", "y1")) + "] END"
+_FAMILY = lambda f: f"SELECT record_id, '{f}' AS family, unnest(range(len(x))) AS pos, unnest(x) AS b FROM (SELECT record_id, content_metadata.hierarchy.nearby_objects.{f}.bbox AS x FROM ({_LAST})) UNION ALL SELECT record_id, '{f}', pos, {_ITEM} FROM (SELECT record_id, unnest(range(len(x))) AS pos, unnest(x) AS e FROM (SELECT record_id, CASE json_type(json_extract(n, '$.{f}')) WHEN 'ARRAY' THEN list_transform(json_extract(n, '$.{f}[*]'), lambda o: json_extract(o, '$.bbox')) WHEN 'OBJECT' THEN json_extract(n, '$.{f}.bbox[*]') END AS x FROM ({_JSON})))"
+_B = f"SELECT record_id, family, pos, b FROM ({' UNION ALL '.join(map(_FAMILY, ('text', 'images', 'structured')))}) WHERE len(b) = 4 AND b[3] > b[1] AND b[4] > b[2]"
 _N = lambda a, b: f"greatest(least({a}[3], {b}[3]) - greatest({a}[1], {b}[1]), 0) * greatest(least({a}[4], {b}[4]) - greatest({a}[2], {b}[2]), 0)"
 _A = lambda a: f"(({a}[3] - {a}[1]) * ({a}[4] - {a}[2]))"
 SQL = {

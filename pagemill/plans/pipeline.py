@@ -22,7 +22,7 @@ class Ingest:
         return Ingest(self.spark, df)
 
     def files(self, patterns: list[str], readers: dict | None = None, strict: bool = True) -> "Ingest":
-        paths = S.expand_paths(patterns)
+        paths = S.expand_paths(patterns, self.spark)
         own = {"text": S.text_chunks, "html": S.html_pages, "spreadsheet": S.csv_chunks} | (readers or {})
         return self._with(S.branches(S.scan(self.spark, paths), own, strict))
 

@@ -125,6 +125,8 @@ def test_rrf(spark):
 def test_sources(spark, tmp_path):
     assert S.csv_table(b"name;photo;value\nA;data:image/png;base64,AAA;1\nB;;2\n")[0] == ["name", "photo", "value"]
     assert S.html_text("<p>a &amp; b</p><script>x</script><div> c </div>") == "a & b\n\nc"
+    assert S.html_text("a<template>x<template>y</template>z</template>b<!-- c --><style>p > q</style>d &lt;e&gt; <img alt='>'/>f") == "a\n\nb\n\nd <e>\n\nf"
+    assert S.html_text("shown<noscript>no <b>yes</b>") == "shown" and S.html_text("x<script>if (a<b) y('</p>')</script>z</p>") == "x\n\nz"
     (tmp_path / "a.txt").write_text("one two three four")
     (tmp_path / "b.html").write_text("<b>five</b> six")
     (tmp_path / "c.csv").write_text("h,k\n1,2\n")
@@ -134,8 +136,29 @@ def test_sources(spark, tmp_path):
     assert counters["written"] == 7 and counters["dropped_no_text"] == 0
     with pytest.raises(FileNotFoundError):
         S.expand_paths([f"{tmp_path}/none.txt"])
+    assert S.expand_paths([f"{tmp_path}/*.none"]) == []
+    with pytest.raises(IsADirectoryError):
+        S.expand_paths([str(tmp_path)])
     with pytest.raises(PySparkException):
-        Ingest(spark).files([f"{tmp_path}/*"]).df.collect()
+        Ingest(spark).files([f"{tmp_path}/*.*"]).df.collect()
+
+
+def test_tokenizer_windows(spark):
+    path = "/opt/tokenizers/byte_bpe_50k.json"
+    df = spark.createDataFrame([(1, "One two  three, four five.\nSix"), (2, None), (3, "  "), (4, "word")], "id int, text string")
+    got = ordered.tokenizer_windows(df, path, 4).collect()
+    assert [r["text"] for r in got if r["id"] == 4] == ["word"] and {r["id"] for r in got} == {1, 4}
+    one = [r["text"] for r in sorted(got, key=lambda r: r["chunk_index"]) if r["id"] == 1]
+    assert len(one) > 1 and "".join(one) == "One two  three, four five.\nSix" and all(r["chunk_count"] == len(one) for r in got if r["id"] == 1)
+    with pytest.raises(ValueError):
+        ordered.tokenizer_windows(df, path, 0)
+
+
+def test_fused_ties_and_cut(spark):
+    audio = spark.createDataFrame([(1, "s", 0.0, 2.0, " said "), (2, "s", 50.0, 51.0, "alone"), (3, "s", 0.0, 1.0, " ")], "id int, k string, start double, end double, text string")
+    frames = spark.createDataFrame([(7, "s", 0.0, 2.0, "short"), (8, "s", 0.5, 1.5, "y" * 99 + " " + "z" * 50), (9, "s", 2.0, 9.0, "far")], "id int, k string, start double, end double, text string")
+    got = {r["id"]: (r["text"], r["modality"], r["n_frames"]) for r in ordered.fused(audio, frames, "k", 5.0).collect()}
+    assert got == {1: ("[AUDIO] said | [VISUAL] " + "y" * 99, "audio_visual", 3), 2: ("alone", "audio", 0), 3: (" ", "audio", 0)}
 
 
 def test_stream(spark, sf, tmp_path):
