@@ -25,31 +25,57 @@ def assign(words: DataFrame, cells: DataFrame, by: str, least: float = 0.25, del
     return j.withColumn("top", top).where((F.col("top") > least) & (F.col("share") >= F.col("top") / delta)).select(by, "word", "cell", F.round("share", 6).alias("share"))
 
 
-def fuse_boxes(df: DataFrame, threshold: float = 0.55) -> DataFrame:
-    """Weighted boxes fusion per page and label: (page, label, box, score). Greedy by score, so per page in pandas; a page
-    has few boxes."""
+def _fused(boxes: list, scores: list, threshold: float, union: bool, most: bool) -> list[tuple[list, float, list[int]]]:
+    """Clusters of boxes, greedily by score, each with its fused box, score and members."""
+    clusters: list[dict] = []
+    for i in sorted(range(len(boxes)), key=lambda i: (-scores[i], list(boxes[i]))):
+        b, score = boxes[i], scores[i]
+        best, at = threshold, None
+        for c in clusters:
+            m = c["box"]
+            w, h = min(b[2], m[2]) - max(b[0], m[0]), min(b[3], m[3]) - max(b[1], m[1])
+            n = max(w, 0) * max(h, 0)
+            u = (b[2] - b[0]) * (b[3] - b[1]) + (m[2] - m[0]) * (m[3] - m[1]) - n
+            if u > 0 and n / u > best:
+                best, at = n / u, c
+        if at is None:
+            clusters.append({"box": list(b), "sum": [x * score for x in b], "w": score, "top": score, "of": [i]})
+        else:
+            at["sum"], at["w"] = [s + x * score for s, x in zip(at["sum"], b)], at["w"] + score
+            at["top"], at["of"] = max(at["top"], score), at["of"] + [i]
+            m = at["box"]
+            at["box"] = [min(m[0], b[0]), min(m[1], b[1]), max(m[2], b[2]), max(m[3], b[3])] if union else [s / at["w"] for s in at["sum"]]
+    return sorted(((c["box"], c["top"] if most else c["w"] / len(c["of"]), c["of"]) for c in clusters), key=lambda c: (-c[1], c[0]))
+
+
+def fuse_boxes(df: DataFrame, threshold: float = 0.55, least: float = 0.0, union: bool = False, most: bool = False, by_label: bool = True) -> DataFrame:
+    """Weighted boxes fusion per page, and per label unless by_label is off: (page, label, box, score), by falling score.
+
+    Edges are clamped to 0..1 and put in order; boxes without area or with no score above `least` are dropped. A cluster's
+    box is the mean weighted by score, or with `union` the box around all; its score the mean, or with `most` the highest;
+    its label the one all have, else that of its highest score. Greedy by score, so per page in pandas; a page has few boxes.
+    """
 
     def fuse(pdf: pd.DataFrame) -> pd.DataFrame:
-        clusters: list[dict] = []
-        for box, score in sorted(zip(pdf["box"], pdf["score"]), key=lambda x: (-x[1], list(x[0]))):
-            b = [min(box[0], box[2]), min(box[1], box[3]), max(box[0], box[2]), max(box[1], box[3])]
-            best, at = threshold, None
-            for c in clusters:
-                m = c["box"]
-                w, h = min(b[2], m[2]) - max(b[0], m[0]), min(b[3], m[3]) - max(b[1], m[1])
-                n = max(w, 0) * max(h, 0)
-                u = (b[2] - b[0]) * (b[3] - b[1]) + (m[2] - m[0]) * (m[3] - m[1]) - n
-                if u > 0 and n / u > best:
-                    best, at = n / u, c
-            if at is None:
-                clusters.append({"box": b, "sum": [x * score for x in b], "w": score, "n": 1})
-            else:
-                at["sum"] = [s + x * score for s, x in zip(at["sum"], b)]
-                at["w"], at["n"] = at["w"] + score, at["n"] + 1
-                at["box"] = [s / at["w"] for s in at["sum"]]
-        return pd.DataFrame([{"page": pdf["page"].iloc[0], "label": pdf["label"].iloc[0], "box": [float(x) for x in c["box"]], "score": c["w"] / c["n"]} for c in clusters])
-
-    return df.where("score > 0").groupBy("page", "label").applyInPandas(fuse, "page bigint, label string, box array<double>, score double")
+        rows = []
+        for label, score, box in zip(pdf["label"], pdf["score"], pdf["box"]):
+            x = [min(max(float(v), 0.0), 1.0) for v in box]
+            b = [min(x[0], x[2]), min(x[1], x[3]), max(x[0], x[2]), max(x[1], x[3])]
+            if b[2] > b[0] and b[3] > b[1]:
+                rows.append((label, float(score), b))
+        out = []
+        for box, score, of in _fused([r[2] for r in rows], [r[1] for r in rows], threshold, union, most):
+            out.append((pdf["page"].iloc[0], max((rows[i] for i in of), key=lambda r: r[1])[0], [float(x) for x in box], score))
+        return pd.DataFrame(out, columns=["page", "label", "box", "score"])
+
+    x = df.where(F.col("score") > least).where("size(box) = 4").select("page", "label", "box", "score")
+    return x.groupBy(*["page", "label"][: 2 if by_label else 1]).applyInPandas(fuse, "page bigint, label string, box array<double>, score double")
+
+
+def without_overlap(df: DataFrame) -> DataFrame:
+    """Boxes of a page that hardly touch: twice fused to the box around all, at an overlap of a hundredth."""
+    once = fuse_boxes(df, 0.01, union=True, most=True)
+    return fuse_boxes(once, 0.01, union=True, most=True)
 
 
 def _boxes(s, d) -> DataFrame:
@@ -81,7 +107,7 @@ def assign_words_to_cells(s, d):
 
 
 def box_fusion(s, d):
-    return fuse_boxes(_boxes(s, d).select(F.col("record_id").alias("page"), F.col("family").alias("label"), F.col("b").alias("box"), F.lit(1.0).alias("score")), 0.3)
+    return fuse_boxes(_boxes(s, d).select(F.col("record_id").alias("page"), F.col("family").alias("label"), F.col("b").alias("box"), (F.lit(0.9) - F.pmod("pos", F.lit(5)) / 10).alias("score")), 0.3)
 
 
 QUERIES = {f.__name__: f for f in (bbox_iou_anti, bbox_union, box_inclusion_anti, assign_words_to_cells, box_fusion)}

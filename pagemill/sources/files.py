@@ -176,7 +176,9 @@ def csv_chunks(files: DataFrame, budget: int = 4096) -> DataFrame:
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet, JSON lines or JSON; a document that wraps its records under a known key is unwrapped."""
+    """Parquet, CSV with a header, JSON lines or JSON; a document that wraps its records under a known key is unwrapped."""
+    if path.endswith(".csv"):
+        return spark.read.option("header", True).csv(path)
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(path)
     df = spark.read.option("multiLine", path.endswith(".json")).json(path)
@@ -184,15 +186,41 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.inline(key)) if key else df
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", least_dim: int | None = None) -> DataFrame:
-    """Writes valid rows of a vector table (a vector of the dimension, some text) and returns the counters of what was
-    dropped, observed in the same pass. Overwrite is the default; append creates the table and never de-duplicates."""
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", least_dim: int | None = None, sparse: bool = False) -> DataFrame:
+    """Writes valid rows of a vector table (a vector of the dimension and some text; an image with a vector needs no text;
+    with `sparse` only text) and returns the counters of what was dropped, observed in the same pass. Overwrite is the
+    default; append creates the table, never de-duplicates, and is an error if the table there has other columns or vectors
+    of another length."""
     from pyspark.sql import Observation
 
+    spark = df.sparkSession
+    if mode == "append":
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+            old = spark.read.parquet(path)
+            if {(f.name, f.dataType.simpleString()) for f in old.schema} != {(f.name, f.dataType.simpleString()) for f in df.schema}:
+                raise ValueError("the table there has other columns")
+            there = None if sparse else old.select(F.size("embedding")).first()
+            if there and least_dim is not None and there[0] != least_dim:
+                raise ValueError("the table there has vectors of another length")
     seen = Observation()
-    has = F.col("embedding").isNotNull() & (F.size("embedding") > 0)
-    fit = has if least_dim is None else has & (F.size("embedding") == least_dim)
+    has = F.lit(True) if sparse else F.col("embedding").isNotNull() & (F.size("embedding") > 0)
+    fit = has if least_dim is None or sparse else has & (F.size("embedding") == least_dim)
     text = F.coalesce(F.trim("text"), F.lit("")) != ""
+    if "content_type" in df.columns and not sparse:
+        text = text | F.coalesce(F.col("content_type") == "image", F.lit(False))
     df.observe(seen, F.count_if(~has).alias("dropped_no_embedding"), F.count_if(has & ~fit).alias("dropped_bad_length"), F.count_if(fit & ~text).alias("dropped_no_text"), F.count_if(fit & text).alias("written")).where(fit & text).write.mode(mode).parquet(path)
     got = seen.get
-    return df.sparkSession.createDataFrame([tuple(int(got[k]) for k in sorted(got))], ", ".join(f"{k} bigint" for k in sorted(got)))
+    return spark.createDataFrame([tuple(int(got[k]) for k in sorted(got))], ", ".join(f"{k} bigint" for k in sorted(got)))
+
+
+def write_records(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Parquet, or JSON lines where the path ends so."""
+    (df.write.mode(mode).json if path.endswith((".json", ".jsonl", ".ndjson")) else df.write.mode(mode).parquet)(path)
+
+
+def transport(df: DataFrame, bulky: tuple[str, ...] = ("embedding", "content", "image_b64", "page_image"), most: int = 500) -> DataFrame:
+    """Results as they travel: bulky columns null, texts cut at `most` characters but those that carry the text."""
+    kept = ("text", "content", "markdown", "page_text")
+    cut = lambda f: F.lit(None).cast(f.dataType).alias(f.name) if f.name in bulky and f.name not in kept else F.substring(f.name, 1, most).alias(f.name) if f.dataType.simpleString() == "string" and f.name not in kept else F.col(f.name)
+    return df.select(*[cut(f) for f in df.schema.fields])

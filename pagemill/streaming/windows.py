@@ -1,9 +1,7 @@
-"""Structured Streaming: windowed aggregates with watermarks, job and document states, idempotent sinks."""
+"""Structured Streaming: windowed aggregates with watermarks, sessions, document states."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,15 +20,6 @@ def sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
     return g.select("user_id", F.col("w.start").alias("start_at"), F.col("w.end").alias("end_at"), "n")
 
 
-def upsert_batches(write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that writes each batch once per epoch: rows repeated in a batch count once."""
-
-    def of(batch: DataFrame, epoch: int) -> None:
-        write(batch.dropDuplicates(), epoch)
-
-    return of
-
-
 def document_states(events: DataFrame) -> DataFrame:
     """Per document the first terminal state wins, later ones are idempotent: (document_id, state, n_ignored).
 
