@@ -1,7 +1,9 @@
 """Elements, frames, leases, fusion and store policies against brute force and built cases."""
 
+import glob
 import json
 import random
+import time
 
 import numpy as np
 import pytest
@@ -104,11 +106,18 @@ def test_leases_in_a_stream_and_epochs(spark, tmp_path):
     df = spark.createDataFrame(rows, work.EVENT)
     df.where("seq < 3").coalesce(1).write.parquet(f"{tmp_path}/in")
     stream = spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in")
-    for _ in range(2):
-        q = work.brokered(stream).writeStream.outputMode("append").option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).foreachBatch(work.epoch_writer(f"{tmp_path}/out")).start()
-        assert q.awaitTermination(90)
-        if not spark.read.parquet(f"{tmp_path}/in").where("seq = 3").count():
-            df.where("seq = 3").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    # the timers of leases make batches without end: wait for the rows
+    q = work.brokered(stream).writeStream.outputMode("append").option("checkpointLocation", f"{tmp_path}/ck").trigger(processingTime="1 second").foreachBatch(work.epoch_writer(f"{tmp_path}/out")).start()
+    try:
+        for wanted in (2, 4):
+            for _ in range(60):
+                time.sleep(1)
+                if glob.glob(f"{tmp_path}/out/*/*.parquet") and spark.read.parquet(f"{tmp_path}/out").count() >= wanted:
+                    break
+            if wanted == 2:
+                df.where("seq = 3").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    finally:
+        q.stop()
     got = spark.read.parquet(f"{tmp_path}/out").orderBy("seq", "outcome").collect()
     assert [(r["seq"], r["outcome"]) for r in got] == [(1, "ok"), (2, "ok"), (3, "ok"), (3, "replayed")]
     write = work.epoch_writer(f"{tmp_path}/again")
