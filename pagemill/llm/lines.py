@@ -73,6 +73,12 @@ def near_clusters(chunks: DataFrame) -> DataFrame:
     return members.join(groups, "node", "left").select("id", F.coalesce("component", "node").alias("cluster"))
 
 
+def collapsed(once: DataFrame) -> DataFrame:
+    """(source, cluster, keys, n, first_day, last_day): the (id, source, day, cluster, keys) rows of a cluster that have the
+    same lines as one row, with their number and range of days, so that a text sent out often hands on its lines once."""
+    return once.groupBy("source", "cluster", "keys").agg(F.count("*").alias("n"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+
+
 def repeated_lines(chunks: DataFrame, least_chunks: int = LEAST_CHUNKS, share: float = LEAST_SHARE, about: DataFrame | None = None) -> DataFrame:
     """(source, key, n_chunks, n_clusters, n_days, n_source) of the lines that stand in at least `least_chunks`
     chunks and that share of all distinct chunks of their source.
@@ -83,13 +89,15 @@ def repeated_lines(chunks: DataFrame, least_chunks: int = LEAST_CHUNKS, share: f
     """
     prepare(chunks.sparkSession)
     rows = chunks.select("id", "source", "day", "text").where("id is not null and trim(source) <> ''").mapInArrow(_per_chunk, "id bigint, source string, day date, cluster bigint, keys array<bigint>")
-    once = staged(rows.dropDuplicates(["id", "source"]), "once")
+    once = rows.dropDuplicates(["id", "source"])
     if about is not None:
         other = about.select("id", F.col("cluster").alias("c"), F.col("day").alias("d"))
         once = once.join(other, "id", "left").withColumn("cluster", F.coalesce("c", "cluster")).withColumn("day", F.coalesce("d", "day")).drop("c", "d")
-    totals = once.groupBy("source").agg(F.count("*").alias("n_source"))
-    # a cluster's lines are those of any of its members: lightly edited copies differ in some
-    each = once.select("source", "cluster", "day", F.explode("keys").alias("key")).groupBy("source", "key", "cluster").agg(F.count("*").alias("n"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+    copies = staged(collapsed(once), "copies")
+    totals = copies.groupBy("source").agg(F.sum("n").alias("n_source"))
+    each = copies.select("source", "cluster", "n", "first_day", "last_day", F.explode("keys").alias("key"))
+    if about is not None:  # a cluster's lines are those of any of its members: lightly edited copies differ in some
+        each = each.groupBy("source", "key", "cluster").agg(F.sum("n").alias("n"), F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
     first = F.min("first_day").alias("first_day")
     lines = each.groupBy("source", "key").agg(F.sum("n").alias("n_chunks"), F.count("*").alias("n_clusters"), first, F.max("last_day").alias("last_day"))
     lines = lines.select("source", "key", "n_chunks", "n_clusters", (F.coalesce((F.col("last_day") > F.col("first_day")).cast("int"), F.lit(0)) + 1).alias("n_days"))

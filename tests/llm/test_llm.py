@@ -167,6 +167,31 @@ def test_republished_articles_are_no_boilerplate(spark, tmp_path):
     assert lines.p6_found(spark, str(tmp_path)).count() == 12 * 9 + 8
 
 
+def test_copies_collapse_before_lines_are_counted(spark, tmp_path, monkeypatch):
+    """Two hundred copies of one article hand on its lines once; every copy still counts, as p6_found counts chunks."""
+    rng = random.Random(4)
+    word = lambda n: " ".join(rng.choice(WORDS) for _ in range(n)) + " " + "".join(rng.choice("abcdefgh") for _ in range(12))
+    article = [word(6) for _ in range(6)]
+    body = [[*(f"{x}  {i}" for x in article), "short"] if i < 200 else [word(6) for _ in range(4)] + ["Read our legal notice here"] * (i < 240) for i in range(300)]
+    rows = [(i, ["a", "b"][i % 2], "\r\n".join(b), f"2024-05-{1 + i % 9:02d} 00:00:00") for i, b in enumerate(body)]
+    rows += rows[:50] + [(900, "a", None, None), (901, " ", rows[0][2], None), (902, None, rows[0][2], None)]
+    spark.createDataFrame(rows, "chunk_id bigint, source_name string, text string, at string").selectExpr("*", "timestamp(at) as extracted_at").write.parquet(f"{tmp_path}/chunks.parquet")
+    held, staged = [], lines.staged
+
+    def seen(df, name):
+        out = staged(df, name)
+        if "keys" in out.columns:
+            held.append(out.select("source", F.explode("keys")).count())
+        return out
+
+    monkeypatch.setattr(lines, "staged", seen)
+    got = {(r["chunk_id"], r["line_no"]) for r in lines.p6_found(spark, str(tmp_path)).collect()}
+    assert got == {(i, n) for i, b in enumerate(body) for n, x in enumerate(b) if i < 200 and x != "short" or x.startswith("Read our")}
+    assert held == [2 * 6 + 100 * 4 + 40]
+    r = lines.repeated_lines(lines._chunks(spark, str(tmp_path))).collect()
+    assert sorted((x["source"], x["n_chunks"], x["n_clusters"], x["n_days"], x["n_source"]) for x in r) == [("a", 20, 20, 2, 151)] + [("a", 100, 1, 2, 151)] * 6 + [("b", 20, 20, 2, 150)] + [("b", 100, 1, 2, 150)] * 6
+
+
 def test_cut_texts(spark):
     rng = random.Random(5)
     rows = []
