@@ -106,6 +106,14 @@ def test_answer_scores(spark):
     assert all(r[0] == r[1] for r in df.select(T.failure_mode(F.col("ok"), F.col("s"), F.col("e"), F.col("a")), "want").collect())
 
 
+def test_answer_in_context_normalises_each_text_once(spark):
+    many = " ".join(f"Word{i}" for i in range(1_000))
+    rows = [(many, many, True), (many, many[: len(many) // 3], False), ("of the", None, True), ("alpha", None, False), (None, "alpha", None), ("alpha\u00a0beta\x1cgamma", "ALPHA", True), ("1,000.50 alpha beta", "1000.5", False)]
+    df = spark.createDataFrame(rows, "a string, c string, want boolean").select("want", T.answer_in_context(F.col("a"), F.col("c")).alias("ok"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count(T.BLANKS) == 2
+    assert all(r["ok"] == r["want"] for r in df.collect())
+
+
 def test_runs_and_windows(spark):
     df = spark.createDataFrame([("s", 100.0, 102.0), ("s", 102.0, 104.0), ("s", 104.0, 106.0), ("s", 120.0, 121.0)], "k string, a double, b double")
     got = ordered.merge_runs(df, ["k"], "a", "b", 1.0).orderBy("run_start").collect()
