@@ -1,12 +1,13 @@
 import json
 import random
 
+import duckdb
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from pagemill.functions import text as T
-from pagemill.operators import graph, nested, ordered, relational, retrieve
+from pagemill.operators import evaluate, graph, nested, ordered, relational, retrieve
 from pagemill.plans.pipeline import Ingest
 from pagemill.sources import files as S
 from pagemill.streaming import windows
@@ -114,6 +115,24 @@ def test_answer_in_context_normalises_each_text_once(spark):
     assert all(r["ok"] == r["want"] for r in df.collect())
 
 
+def test_failure_modes_compare_texts_only_where_they_decide(spark, tmp_path):
+    many = " ".join(f"Word{i}" for i in range(1_000))
+    answers = [many, "Word1 elsewhere nowhere", "It is NOT mentioned.", "not mentioned Word1 Word2 Word3", "of the"]
+    rows = [(a, s, e) for a in answers for s in (None, float("nan"), 0.0, 0.24, 0.25, 0.74, 0.75, 1.0) for e in (None, "blurred", "thinking_truncated")]
+    spark.createDataFrame([(i, i % 3, a, f"m{i % 2}", s, e) for i, (a, s, e) in enumerate(rows)], "observation_id long, chunk_id long, text string, model string, score double, error string").write.parquet(str(tmp_path / "observations.parquet"))
+    spark.createDataFrame([(0, many), (1, "Word1 Word2 Word3 mentioned"), (2, "other words")], "chunk_id long, text string").write.parquet(str(tmp_path / "chunks.parquet"))
+    df = evaluate.failure_mode_breakdown(spark, str(tmp_path))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count(T.BLANKS) == 2
+    con = duckdb.connect()
+    for t in ("observations", "chunks"):
+        con.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    want = {tuple(r) for r in con.execute(evaluate.SQL["failure_mode_breakdown"]).fetchall()}
+    assert {(r["model"], r["mode"], r["n"]) for r in df.collect()} == want and len({r[1] for r in want}) == 8
+    cases = spark.createDataFrame(rows, "a string, s double, e string")
+    mode = lambda ok: T.failure_mode(F.lit(ok), F.col("s"), F.col("e"), F.col("a"))
+    assert all(r["needed"] == r["differs"] for r in cases.select(F.coalesce(T.by_context(F.col("s"), F.col("e"), F.col("a")), F.lit(False)).alias("needed"), (mode(True) != mode(False)).alias("differs")).collect())
+
+
 def test_runs_and_windows(spark):
     df = spark.createDataFrame([("s", 100.0, 102.0), ("s", 102.0, 104.0), ("s", 104.0, 106.0), ("s", 120.0, 121.0)], "k string, a double, b double")
     got = ordered.merge_runs(df, ["k"], "a", "b", 1.0).orderBy("run_start").collect()
